@@ -1,0 +1 @@
+"""No streaming operators: listings carry no event time, so every operator is a batch job."""
