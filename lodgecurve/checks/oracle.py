@@ -25,6 +25,159 @@ def _hot(column: str, **values: str) -> str:
 
 ROOMS = {v.lower(): v for v in ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]}
 
+SEG = "city, season, weekend"
+
+# Twenty equal-count price bins; listings of one price are shared out over bin edges by count.
+BINS_SQL = """
+hist AS (SELECT city, season, weekend, listing_price AS p, count(*) AS c, sum(occupancy_rate) AS so
+         FROM clipped GROUP BY ALL),
+run AS (SELECT *, cast(sum(c) OVER (PARTITION BY city, season, weekend ORDER BY p) AS BIGINT) AS upto,
+          cast(sum(c) OVER (PARTITION BY city, season, weekend) AS BIGINT) AS total FROM hist),
+piece AS (SELECT city, season, weekend, b AS bin, p, so / c AS occ,
+            least(upto, b * (total // 20) + least(b, total % 20))
+            - greatest(upto - c, (b - 1) * (total // 20) + least(b - 1, total % 20)) AS m
+          FROM run CROSS JOIN range(1, 21) AS t(b)),
+bins AS (SELECT city, season, weekend, cast(bin AS INT) AS bin, cast(sum(m) AS BIGINT) AS n,
+           sum(m * ln(1e0 + p)) / sum(m) AS x, sum(m * occ) / sum(m) AS mean_occupancy,
+           ln(sum(m * occ) / sum(m)) AS y
+         FROM piece WHERE m > 0 GROUP BY city, season, weekend, bin)
+"""
+
+
+def _error(side: str) -> str:
+    x, y, xx, xy, yy, n = (f"{side}{k}" for k in ("x", "y", "xx", "xy", "yy", "n"))
+    return (
+        f"greatest(({yy} - {y} * {y} / {n}) - coalesce(({xy} - {x} * {y} / {n}) * ({xy} - {x} * {y} / {n})"
+        f" / nullif({xx} - {x} * {x} / {n}, 0e0), 0e0), 0e0)"
+    )
+
+
+def _fit(two: str) -> str:
+    """Best one-breakpoint fit per segment; ``two`` says when two lines are used."""
+    terms = {"n": "1e0", "x": "cx", "y": "cy", "xx": "cx * cx", "xy": "cx * cy", "yy": "cy * cy"}
+    whole = "PARTITION BY city, season, weekend"
+    sums = ", ".join(
+        f"sum({t}) OVER ({whole} ORDER BY bin ROWS UNBOUNDED PRECEDING) AS l{k}, sum({t}) OVER ({whole}) AS t{k}"
+        for k, t in terms.items()
+    )
+    rest = ", ".join(f"t{k} - l{k} AS r{k}" for k in terms)
+    return f"""
+centred AS (SELECT *, x - avg(x) OVER ({whole}) AS cx, y - avg(y) OVER ({whole}) AS cy FROM bins),
+summed AS (SELECT *, row_number() OVER ({whole} ORDER BY bin) AS k,
+             lead(x) OVER ({whole} ORDER BY bin) AS next_x, {sums} FROM centred),
+rested AS (SELECT *, {rest} FROM summed),
+errors AS (SELECT *, CASE WHEN k >= 3 AND tn - k >= 3 THEN {_error("l")} + {_error("r")} END AS e2, {_error("t")} AS e1
+           FROM rested),
+best AS (SELECT city, season, weekend, max(tn) AS nb, max(e1) AS e1, min(e2) AS e2, arg_min(k, e2) AS split,
+           arg_min((x + next_x) / 2e0, e2) AS bp FROM errors WHERE e2 IS NOT NULL GROUP BY city, season, weekend),
+choice AS (SELECT *, {two} AS two FROM best),
+labelled AS (SELECT s.*, CASE WHEN NOT two THEN 0 WHEN k <= split THEN 1 ELSE 2 END AS side,
+               CASE WHEN two THEN bp END AS bp
+             FROM summed s JOIN choice USING (city, season, weekend)),
+fit AS (SELECT city, season, weekend, side, regr_slope(y, x) AS slope, regr_intercept(y, x) AS intercept,
+          regr_r2(y, x) AS r_squared, count(*) AS n_bins, max(bp) AS breakpoint_log_price,
+          CASE side WHEN 0 THEN 'all' WHEN 1 THEN 'low' ELSE 'high' END AS price_regime
+        FROM labelled GROUP BY city, season, weekend, side)
+"""
+
+
+FIT_SQL = _fit("nb * ln(e2 / nb) + 5e0 * ln(nb) < nb * ln(e1 / nb) + 2e0 * ln(nb)")
+BINNED = _with(LISTINGS_SQL, CLIPPED_SQL, BINS_SQL)
+FITTED = _with(LISTINGS_SQL, CLIPPED_SQL, BINS_SQL, FIT_SQL)
+REGIMES_SQL = """
+regimes AS (SELECT city, season, weekend, max(CASE WHEN side = 0 THEN slope END) AS slope_all,
+  max(CASE WHEN side = 1 THEN slope END) AS slope_low, max(CASE WHEN side = 2 THEN slope END) AS slope_high,
+  max(breakpoint_log_price) AS bp FROM fit GROUP BY city, season, weekend)
+"""
+LOOKED_UP = _with(LISTINGS_SQL, CLIPPED_SQL, FEATURES_SQL, BINS_SQL, FIT_SQL, REGIMES_SQL)
+
+BASE_SQL = """
+base AS (SELECT city, season, weekend, quantile_disc(listing_price, 0.5) AS p0, avg(occupancy_rate) AS o0,
+           avg(days_in_period) AS days FROM clipped GROUP BY city, season, weekend),
+armed AS (SELECT *, exp(bp) - 1e0 AS b, coalesce(slope_all, CASE WHEN p0 < exp(bp) - 1e0 THEN slope_low ELSE slope_high END) AS s0
+          FROM base JOIN regimes USING (city, season, weekend))
+"""
+
+
+def _curve(points: int) -> str:
+    last = points - 1
+    return f"""
+grid AS (SELECT *, CASE WHEN g = {last} THEN p0 * 1.5e0 ELSE p0 * 0.5e0 + g * ((p0 * 1.5e0 - p0 * 0.5e0) / {last}e0) END AS p
+         FROM armed CROSS JOIN range(0, {points}) AS t(g)),
+sloped AS (SELECT *, coalesce(slope_all, CASE WHEN p < b THEN slope_low ELSE slope_high END) AS s1 FROM grid),
+moved AS (SELECT *, CASE WHEN slope_all IS NULL AND (p0 < b) != (p < b)
+            THEN o0 * (1e0 + s0 * ((b - p0) / p0)) * (1e0 + s1 * ((p - b) / b))
+            ELSE o0 * (1e0 + s0 * ((p - p0) / p0)) END AS raw FROM sloped),
+curve AS (SELECT city, season, weekend, cast(g AS INT) AS grid_index, p AS price, p0, o0, days, s1 AS slope,
+            season || '_season_' || CASE weekend WHEN 1 THEN 'weekend' ELSE 'weekday' END AS segment_name,
+            cast((CASE season WHEN 'high' THEN 0 WHEN 'shoulder' THEN 2 ELSE 4 END + weekend) * {points} + g AS BIGINT)
+              AS candidate_id,
+            least(greatest(raw, 0e0), 1e0) AS occ, p * least(greatest(raw, 0e0), 1e0) AS daily FROM moved)
+"""
+
+
+def _curved(points: int) -> str:
+    return _with(LISTINGS_SQL, CLIPPED_SQL, BINS_SQL, FIT_SQL, REGIMES_SQL, BASE_SQL, _curve(points))
+
+
+# Every pair of a season's weekday and weekend price, seasons joined pairwise from low to high.
+SOLVED_SQL = """
+allowed AS (SELECT *, daily * days AS revenue FROM curve WHERE price BETWEEN 10 AND 1000 AND occ >= 0.5e0),
+pairs AS (SELECT d.city, d.season, d.price AS pd, e.price AS pe, d.grid_index AS gd, e.grid_index AS ge,
+            d.revenue + e.revenue AS revenue
+          FROM allowed d JOIN allowed e ON d.city = e.city AND d.season = e.season AND d.weekend = 0 AND e.weekend = 1
+            AND e.price >= 1.1e0 * d.price),
+two AS (SELECT s.city, s.pd, s.pe, s.gd, s.ge, max(s.revenue + l.revenue) AS revenue,
+          arg_max(l.gd, s.revenue + l.revenue) AS lgd, arg_max(l.ge, s.revenue + l.revenue) AS lge
+        FROM pairs s JOIN pairs l ON s.city = l.city AND s.season = 'shoulder' AND l.season = 'low'
+          AND s.pd >= 1.05e0 * l.pd AND s.pe >= 1.05e0 * l.pe
+        GROUP BY s.city, s.pd, s.pe, s.gd, s.ge),
+three AS (SELECT h.city, h.gd, h.ge, t.gd AS sgd, t.ge AS sge, t.lgd, t.lge, h.revenue + t.revenue AS revenue
+          FROM pairs h JOIN two t ON h.city = t.city AND h.season = 'high'
+            AND h.pd >= 1.05e0 * t.pd AND h.pe >= 1.05e0 * t.pe),
+pick AS (SELECT city, arg_max(gd, revenue) AS gd, arg_max(ge, revenue) AS ge, arg_max(sgd, revenue) AS sgd,
+           arg_max(sge, revenue) AS sge, arg_max(lgd, revenue) AS lgd, arg_max(lge, revenue) AS lge
+         FROM three GROUP BY city),
+picked AS (SELECT city, 'high' AS season, 0 AS weekend, gd AS grid_index FROM pick
+  UNION ALL SELECT city, 'high', 1, ge FROM pick UNION ALL SELECT city, 'shoulder', 0, sgd FROM pick
+  UNION ALL SELECT city, 'shoulder', 1, sge FROM pick UNION ALL SELECT city, 'low', 0, lgd FROM pick
+  UNION ALL SELECT city, 'low', 1, lge FROM pick),
+solved AS (SELECT c.*, daily * days AS annual, p0 * o0 * days AS base_annual
+           FROM curve c JOIN picked USING (city, season, weekend, grid_index))
+"""
+SOLVED = _curved(25).rstrip() + ", " + SOLVED_SQL.strip() + "\n"
+
+MEDIANS_SQL = """
+property AS (SELECT city, quantile_disc(listing_price, 0.5) AS listing_price,
+  quantile_disc(person_capacity, 0.5) AS person_capacity, quantile_disc(bedrooms, 0.5) AS bedrooms,
+  quantile_disc(cleanliness_rating, 0.5) AS cleanliness_rating,
+  quantile_disc(guest_satisfaction_overall, 0.5) AS guest_satisfaction_overall,
+  quantile_disc(city_center_dist, 0.5) AS city_center_dist, quantile_disc(metro_dist, 0.5) AS metro_dist
+  FROM clipped GROUP BY city)
+"""
+
+
+def _repriced(satisfaction: str, reach: str, versus: str, volatility: str) -> str:
+    return (
+        _with(LISTINGS_SQL, CLIPPED_SQL, FEATURES_SQL, STATS_SQL, BINS_SQL, FIT_SQL, REGIMES_SQL, MEDIANS_SQL)
+        + f""", now AS (SELECT *, segment_median_price * 1.2e0 AS p FROM stats
+            JOIN (SELECT * EXCLUDE (listing_price) FROM property) USING (city) LEFT JOIN regimes USING (city, season, weekend))
+      SELECT city, season, weekend, round(p, 6) AS listing_price, round(ln(1e0 + p), 6) AS log_price,
+      round(p / greatest(person_capacity, 1e0), 6) AS price_per_person,
+      round(p / greatest(bedrooms, 1e0), 6) AS price_per_bedroom,
+      round({satisfaction}, 6) AS price_x_satisfaction, round(p / {reach}, 6) AS price_per_dist_km,
+      round({versus.format("segment_median_price")}, 6) AS price_vs_segment_median,
+      round({versus.format("segment_avg_price")}, 6) AS price_vs_segment_avg,
+      round({volatility}, 6) AS relative_price_volatility,
+      round(coalesce(slope_all, CASE WHEN p < exp(bp) - 1e0 THEN slope_low ELSE slope_high END), 6) AS elasticity_slope
+      FROM now"""
+    )
+
+
+def _hash(salt: int) -> str:
+    return f"cast('0x' || substr(md5(concat_ws('|', listing_key, '{salt}')), 1, 8) AS BIGINT)"
+
+
 ORACLE = {
     "clip_ranges": LISTED
     + """SELECT listing_key,
@@ -169,4 +322,130 @@ ORACLE = {
     + "SELECT city, count(*) AS listing_count, round(avg(listing_price), 6) AS avg_price, "
     + ", ".join(f"round(quantile_disc(listing_price, {i / 10}), 6) AS p{10 * i}" for i in range(1, 10))
     + " FROM clipped GROUP BY city",
+    "feature_dataset": STATED
+    + """SELECT listing_key, city, season, weekend, cast(season = 'high' AS INT) AS cat_season_high,
+      cast(season = 'low' AS INT) AS cat_season_low, cast(season = 'shoulder' AS INT) AS cat_season_shoulder,
+      segment_listing_count, round(quality_score, 9) AS quality_score, round(price_per_bedroom, 9) AS price_per_bedroom, """
+    + r("segment_avg_price segment_price_std segment_median_price segment_p90_price segment_p10_price segment_price_spread")
+    + """, round(listing_price / greatest(segment_median_price, 1e0), 9) AS price_vs_segment_median,
+      round(listing_price / greatest(segment_avg_price, 1e0), 6) AS price_vs_segment_avg,
+      round(segment_price_spread / greatest(segment_median_price, 1e0), 9) AS relative_price_volatility
+      FROM features JOIN stats USING (city, season, weekend)""",
+    "price_bins": BINNED + f"SELECT {SEG}, bin, n, {r('x y')} FROM bins",
+    "segment_ols": BINNED
+    + f"""SELECT {SEG}, count(*) AS n_bins, round(regr_slope(y, x), 6) AS slope, round(regr_intercept(y, x), 6) AS intercept,
+      round(regr_r2(y, x), 6) AS r_squared FROM bins GROUP BY {SEG}""",
+    "breakpoint_search": FITTED
+    + f"""SELECT {SEG}, greatest(side, 1) AS regime, price_regime, n_bins,
+      {r('slope intercept r_squared breakpoint_log_price')} FROM fit""",
+    "slope_classes": _with(LISTINGS_SQL, CLIPPED_SQL, BINS_SQL, _fit("true"))
+    + """SELECT city || '_' || season || '_season_' || CASE weekend WHEN 1 THEN 'weekend' ELSE 'weekday' END AS segment,
+      side AS regime, CASE WHEN slope > 0.15e0 THEN 'positive' WHEN slope >= -0.15e0 THEN 'highly_inelastic'
+        WHEN slope > -0.95e0 THEN 'inelastic' WHEN slope >= -1.05e0 THEN 'unit_elastic' ELSE 'elastic' END AS regime_type,
+      round(slope, 6) AS slope, round(r_squared, 6) AS r_squared, n_bins,
+      CASE side WHEN 1 THEN 'lower' ELSE 'upper' END AS price_range FROM fit""",
+    "elasticity_flatten": FITTED
+    + f"""SELECT {SEG}, price_regime, round(slope, 6) AS elasticity_slope,
+      round(breakpoint_log_price, 6) AS breakpoint_log_price FROM fit""",
+    "regime_lookup": LOOKED_UP
+    + """SELECT listing_key, city, season, weekend,
+      round(coalesce(slope_all, CASE WHEN log_price < bp THEN slope_low ELSE slope_high END), 6) AS elasticity_slope
+      FROM features LEFT JOIN regimes USING (city, season, weekend)""",
+    "impute_slope": LOOKED_UP
+    + """, known AS (SELECT listing_key, city, season, weekend, coalesce(slope_all, CASE WHEN log_price < bp THEN slope_low
+        WHEN weekend = 0 THEN slope_high END) AS s FROM features LEFT JOIN regimes USING (city, season, weekend))
+      SELECT listing_key, city, season, weekend,
+      round(coalesce(s, avg(s) OVER (PARTITION BY city, season, weekend)), 6) AS elasticity_slope FROM known""",
+    "hash_split": LISTED
+    + f"SELECT listing_key, CASE WHEN {_hash(42)} % 10000 < 8000 THEN 'train' ELSE 'test' END AS split FROM listings",
+    "three_way_split": LISTED
+    + f"""SELECT listing_key, CASE WHEN {_hash(42)} % 10000 < 2000 THEN 'test'
+      WHEN {_hash(43)} % 10000 < 1250 THEN 'validation' ELSE 'train' END AS split FROM listings""",
+    "chunk_split": LISTED
+    + f"""SELECT cast({_hash(45)} % 5 AS INT) AS chunk, count(*) AS listing_count, min(listing_key) AS first_key,
+      max(listing_key) AS last_key FROM listings GROUP BY 1""",
+    "top_k": CLIPPED
+    + "SELECT listing_key, city, listing_price FROM clipped ORDER BY listing_price DESC, listing_key LIMIT 25",
+    "hash_sample_topn": LISTED
+    + f"SELECT listing_key, city, listing_price FROM listings ORDER BY {_hash(42)}, listing_key LIMIT 100",
+    "season_order": LISTED
+    + """SELECT city, season, weekend, count(*) AS listing_count,
+      CASE season WHEN 'high' THEN 0 WHEN 'shoulder' THEN 1 ELSE 2 END AS season_rank
+      FROM listings GROUP BY city, season, weekend ORDER BY city, season_rank, weekend""",
+    "representative_property": _with(LISTINGS_SQL, CLIPPED_SQL, MEDIANS_SQL)
+    + """SELECT city, 1 AS host_is_superhost, 0 AS multi, 0 AS biz, 'STANDARD' AS room_type,
+      CASE WHEN person_capacity >= 5 THEN '5+' ELSE cast(cast(person_capacity AS INT) AS VARCHAR) END AS capacity_bin,
+      round(listing_price, 9) AS listing_price, person_capacity, bedrooms, round(cleanliness_rating, 9) AS cleanliness_rating,
+      round(guest_satisfaction_overall, 9) AS guest_satisfaction_overall, city_center_dist, metro_dist,
+      round(ln(1e0 + metro_dist), 9) AS log_metro_dist,
+      round(least(1e2, greatest(0e0, guest_satisfaction_overall * 0.5e0 + cleanliness_rating * 0.3e0
+        + greatest(0e0, 5e0 - city_center_dist) * 4e0)), 9) AS quality_score FROM property""",
+    "price_grid": _curved(500)
+    + f"SELECT {SEG}, segment_name, candidate_id, grid_index, round(price, 9) AS price FROM curve",
+    "reprice_features": _repriced(
+        "p * guest_satisfaction_overall / 1e2", "(city_center_dist + 0.1e0)", "p / greatest({}, 1e0)",
+        "segment_price_spread / greatest(segment_median_price, 1e0)",
+    ),
+    "reprice_features_serving": _repriced(
+        "p * guest_satisfaction_overall", "greatest(city_center_dist, 0.1e0)", "(p - {0}) / greatest({0}, 1e0)",
+        "CASE WHEN segment_avg_price > 0 THEN segment_price_std / segment_avg_price ELSE 0e0 END",
+    ),
+    "demand_curve": _curved(500)
+    + f"""SELECT {SEG}, candidate_id, round(price, 9) AS price, round(occ, 6) AS predicted_occupancy,
+      round(daily, 6) AS daily_revenue, round(slope, 6) AS elasticity_slope FROM curve""",
+    "annual_revenue": _curved(500)
+    + f"""SELECT {SEG}, candidate_id, round(days, 6) AS days_in_segment, round(daily * days, 4) AS annual_revenue
+      FROM curve""",
+    "optimal_prices": SOLVED
+    + f"""SELECT {SEG}, grid_index, round(price, 9) AS price, round(occ, 6) AS predicted_occupancy,
+      round(annual, 4) AS annual_revenue FROM solved""",
+    "solution_status": SOLVED
+    + """SELECT city, CASE WHEN n > 0 THEN 'Optimal' ELSE 'Infeasible' END AS status
+      FROM (SELECT c.city, count(p.city) AS n FROM (SELECT DISTINCT city FROM curve) c LEFT JOIN pick p ON c.city = p.city
+        GROUP BY c.city)""",
+    "lift_report": SOLVED
+    + f"""SELECT {SEG}, segment_name, round((price - p0) / p0 * 1e2, 5) AS price_change_pct,
+      round((occ - o0) / o0 * 1e2, 5) AS occupancy_change_pct,
+      round((annual - base_annual) / base_annual * 1e2, 5) AS revenue_lift_pct,
+      round(base_annual, 4) AS baseline_annual_revenue, round(annual, 4) AS annual_revenue,
+      round(annual - base_annual, 4) AS revenue_lift FROM solved""",
+    "portfolio_kpis": SOLVED
+    + """SELECT city, round(sum(base_annual), 4) AS baseline_annual_revenue, round(sum(annual), 4) AS annual_revenue,
+      round(sum(annual - base_annual), 4) AS revenue_lift,
+      round(sum(annual - base_annual) / sum(base_annual) * 1e2, 4) AS revenue_lift_pct,
+      round(sum(p0 * days) / sum(days), 4) AS baseline_weighted_price,
+      round(sum(price * days) / sum(days), 4) AS optimal_weighted_price,
+      round(avg(o0), 4) AS baseline_avg_occupancy, round(avg(occ), 4) AS optimal_avg_occupancy,
+      round(avg((price - p0) / p0 * 1e2), 4) AS avg_price_change_pct,
+      round(avg((occ - o0) / o0 * 1e2), 4) AS avg_occupancy_change_pct FROM solved GROUP BY city""",
+    "weekend_premium": SOLVED
+    + """SELECT city, round(avg(CASE WHEN weekend = 1 THEN price END), 5) AS weekend_price,
+      round(avg(CASE WHEN weekend = 0 THEN price END), 5) AS weekday_price,
+      round((avg(CASE WHEN weekend = 1 THEN price END) / avg(CASE WHEN weekend = 0 THEN price END) - 1e0) * 1e2, 5) AS premium_pct,
+      arg_max(segment_name, (annual - base_annual) / base_annual) AS best_segment,
+      round(max((annual - base_annual) / base_annual * 1e2), 5) AS best_lift_pct FROM solved GROUP BY city""",
+    "standardise": FEATURED
+    + "SELECT listing_key, "
+    + ", ".join(
+        f"round(({c} - avg({c}) OVER ()) / stddev_samp({c}) OVER (), 6) AS {c}_scaled"
+        for c in ("listing_price", "quality_score", "price_per_person")
+    )
+    + " FROM features",
+    "linear_fit": CLIPPED
+    + """, c AS (SELECT avg(listing_price) AS mp, avg(n_bookings) AS mb, avg(occupancy_rate) AS my,
+        var_pop(listing_price) AS pp, var_pop(n_bookings) AS bb, covar_pop(listing_price, n_bookings) AS pb,
+        covar_pop(occupancy_rate, listing_price) AS yp, covar_pop(occupancy_rate, n_bookings) AS yb FROM clipped),
+      s AS (SELECT *, (yp * bb - yb * pb) / (pp * bb - pb * pb) AS cp, (yb * pp - yp * pb) / (pp * bb - pb * pb) AS cb FROM c)
+      SELECT 'intercept' AS term, round(my - cp * mp - cb * mb, 6) AS coefficient FROM s
+      UNION ALL SELECT 'listing_price', round(cp, 6) FROM s UNION ALL SELECT 'n_bookings', round(cb, 6) FROM s""",
+    "regression_metrics": CLIPPED
+    + """, g AS (SELECT season, occupancy_rate AS y, 0.9e0 - 0.0004e0 * listing_price AS p FROM clipped)
+      SELECT season, round(sqrt(avg((p - y) * (p - y))), 6) AS rmse, round(avg(abs(p - y)), 6) AS mae,
+      round(1e0 - avg((p - y) * (p - y)) / var_pop(y), 6) AS r2 FROM g GROUP BY season""",
+    "log_scale_metrics": CLIPPED
+    + """, g AS (SELECT season, occupancy_rate AS y, 0.9e0 - 0.0004e0 * listing_price AS p FROM clipped),
+      l AS (SELECT *, ln(1e0 + y) AS ly, ln(1e0 + p) AS lp FROM g)
+      SELECT season, round(sqrt(avg((p - y) * (p - y))), 6) AS rmse, round(avg(abs(p - y)), 6) AS mae,
+      round(1e0 - avg((p - y) * (p - y)) / var_pop(y), 6) AS r2,
+      round(avg((lp - ly) * (lp - ly)), 6) AS log_mse FROM l GROUP BY season""",
 }

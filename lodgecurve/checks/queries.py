@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodgecurve.checks.listings import listings
 from lodgecurve.functions import values as V
-from lodgecurve.operators import cleaning, encoding, segments
+from lodgecurve.operators import (
+    cleaning, demand, elasticity, encoding, importance, learning, mlp, optimize, ordering, report, segments, splits,
+)
+from lodgecurve.operators.scale import materialise
+from lodgecurve.plans import pricing, training
+from lodgecurve.plans.features import CATEGORIES
+from lodgecurve.plans.features import feature_dataset as build_feature_dataset
 from lodgecurve.schemas import SEGMENT_COLS
 
 KEY = "listing_key"
@@ -27,10 +34,19 @@ def clipped(spark, sf) -> DataFrame:
     return cleaning.clip_listings(listings(spark, sf))
 
 
+def held(spark, sf) -> DataFrame:
+    """Clipped listings written once, for operators that read them several times."""
+    return materialise(clipped(spark, sf))
+
+
 def features(spark, sf) -> DataFrame:
     return segments.listing_features(clipped(spark, sf))
 
 
+def held_features(spark, sf) -> DataFrame:
+    return segments.listing_features(held(spark, sf))
+
+
 # --- cleaning --------------------------------------------------------------------------
 
 
@@ -142,12 +158,12 @@ ROOM_TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 
 
 def one_hot(spark, sf):
-    out = encoding.one_hot(features(spark, sf), ["room_type", "season", "capacity_bin"], drop_originals=True)
+    out = encoding.one_hot(held_features(spark, sf), ["room_type", "season", "capacity_bin"], drop_originals=True)
     return out.select(KEY, *sorted(c for c in out.columns if c.startswith("cat_")))
 
 
 def reverse_one_hot(spark, sf):
-    coded = encoding.one_hot(features(spark, sf), ["city", "season"], drop_originals=True).drop("weekend")
+    coded = encoding.one_hot(held_features(spark, sf), ["city", "season"], drop_originals=True).drop("weekend")
     back = encoding.restore_weekend(encoding.reverse_one_hot(encoding.reverse_one_hot(coded, "city"), "season"))
     return back.select(KEY, "city", "season", "weekend")
 
@@ -172,34 +188,34 @@ POSITION_OUT = ["price_vs_segment_median", "price_vs_segment_avg", "relative_pri
 
 
 def segment_stats(spark, sf):
-    return segments.segment_stats(features(spark, sf)).select(
+    return segments.segment_stats(held_features(spark, sf)).select(
         *SEGMENT_COLS, "segment_listing_count", *[r(c) for c in STATS_OUT]
     )
 
 
 def segment_dataset(spark, sf):
-    out = segments.segment_dataset(features(spark, sf))
+    out = segments.segment_dataset(held_features(spark, sf))
     fixed = [*SEGMENT_COLS, "listing_count"]
     return out.select(*fixed, *[r(c) for c in out.columns if c not in fixed])
 
 
 def iqr_bounds(spark, sf):
-    out = segments.iqr_bounds(features(spark, sf))
+    out = segments.iqr_bounds(held_features(spark, sf))
     return out.select(*SEGMENT_COLS, *[r(c, 9) for c in out.columns if c not in SEGMENT_COLS])
 
 
 def outlier_filter(spark, sf):
-    out = segments.remove_outliers(features(spark, sf))
+    out = segments.remove_outliers(held_features(spark, sf))
     return out.select(KEY, *SEGMENT_COLS, r("price_per_bedroom", 9))
 
 
 def outlier_report(spark, sf):
-    out = segments.removal_report(segments.with_outlier_flag(features(spark, sf)))
+    out = segments.removal_report(segments.with_outlier_flag(held_features(spark, sf)))
     return out.select("rows_before", "rows_after", "rows_removed", r("pct_removed"))
 
 
 def competition_features(spark, sf):
-    out = segments.competition_features(features(spark, sf))
+    out = segments.competition_features(held_features(spark, sf))
     return out.select(KEY, "segment_listing_count", *[r(c) for c in STATS_OUT], *[r(c, 9 if "avg" not in c else 6) for c in POSITION_OUT])
 
 
@@ -213,7 +229,7 @@ def column_profile(spark, sf):
 
 
 def summary_table(spark, sf):
-    out = segments.summary_table(features(spark, sf), ["listing_price", "price_per_bedroom", "quality_score", "occupancy_rate"])
+    out = segments.summary_table(held_features(spark, sf), ["listing_price", "price_per_bedroom", "quality_score", "occupancy_rate"])
     exact = ["min_value", "max_value", "p25", "p50", "p75"]
     return out.select("column_name", "row_count", r("mean_value"), r("std_value"), *[r(c, 9) for c in exact])
 
@@ -235,12 +251,12 @@ def market_size(spark, sf):
 
 
 def market_profile(spark, sf):
-    out = segments.market_profile(clipped(spark, sf))
+    out = segments.market_profile(held(spark, sf))
     return out.select("city", *[r(c) for c in out.columns if c != "city"])
 
 
 def pricing_segment_stats(spark, sf):
-    out = segments.pricing_segment_stats(clipped(spark, sf))
+    out = segments.pricing_segment_stats(held(spark, sf))
     fixed = [*SEGMENT_COLS, "listing_count"]
     return out.select(*fixed, *[r(c) for c in out.columns if c not in fixed])
 
@@ -259,6 +275,374 @@ def distinct_values(spark, sf):
 
 
 def price_deciles(spark, sf):
-    out = segments.price_deciles(clipped(spark, sf))
+    out = segments.price_deciles(held(spark, sf))
     fixed = ["city", "listing_count"]
     return out.select(*fixed, *[r(c) for c in out.columns if c not in fixed])
+
+
+def feature_dataset(spark, sf):
+    """Listing features with one-hot columns and segment statistics, for one row per listing."""
+    fitted = {"season": {f"cat_season_{s}": [s] for s in ("high", "low", "shoulder")}}
+    out, _ = build_feature_dataset(held(spark, sf), categories=fitted)
+    return out.select(
+        KEY, *SEGMENT_COLS, "cat_season_high", "cat_season_low", "cat_season_shoulder", "segment_listing_count",
+        r("quality_score", 9), r("price_per_bedroom", 9), *[r(c) for c in STATS_OUT],
+        *[r(c, 9 if "avg" not in c else 6) for c in POSITION_OUT],
+    )
+
+
+# --- elasticity ------------------------------------------------------------------------
+
+
+def bins(spark, sf) -> DataFrame:
+    return elasticity.price_bins(held(spark, sf))
+
+
+def fit(spark, sf) -> DataFrame:
+    return elasticity.breakpoint_fit(bins(spark, sf))
+
+
+def elastic_rows(listed: DataFrame) -> DataFrame:
+    return materialise(elasticity.elasticity_rows(elasticity.breakpoint_fit(elasticity.price_bins(listed))))
+
+
+def price_bins(spark, sf):
+    return bins(spark, sf).select(*SEGMENT_COLS, "bin", "n", r("x"), r("y"))
+
+
+def segment_ols(spark, sf):
+    return elasticity.segment_ols(bins(spark, sf)).select(
+        *SEGMENT_COLS, "n_bins", r("slope"), r("intercept"), r("r_squared")
+    )
+
+
+def breakpoint_search(spark, sf):
+    """One or two lines per segment, whichever the criterion prefers."""
+    return fit(spark, sf).select(
+        *SEGMENT_COLS, "regime", "price_regime", "n_bins", r("slope"), r("intercept"), r("r_squared"),
+        r("breakpoint_log_price"),
+    )
+
+
+def slope_classes(spark, sf):
+    """Two lines in every segment, under segment keys and with classified slopes."""
+    two = elasticity.breakpoint_fit(bins(spark, sf), force_two=True)
+    return elasticity.elasticity_summary(two).select(
+        "segment", "regime", "regime_type", r("slope"), r("r_squared"), "n_bins", "price_range"
+    )
+
+
+def elasticity_json(spark, sf):
+    return elasticity.elasticity_documents(elastic_rows(held(spark, sf)))
+
+
+def elasticity_flatten(spark, sf):
+    """Elasticity rows written to nested JSON text and read back."""
+    documents = elasticity.elasticity_documents(elastic_rows(held(spark, sf)))
+    return elasticity.flatten_documents(documents).select(
+        *SEGMENT_COLS, "price_regime", r("elasticity_slope"), r("breakpoint_log_price")
+    )
+
+
+def regime_lookup(spark, sf):
+    listed = held_features(spark, sf)
+    out = elasticity.with_elasticity(listed, elastic_rows(listed))
+    return out.select(KEY, *SEGMENT_COLS, r("elasticity_slope"))
+
+
+def impute_slope(spark, sf):
+    """Slopes of the high regime are missing on weekends and filled from the low regime."""
+    listed = held_features(spark, sf)
+    rows = elastic_rows(listed).where(~((F.col("weekend") == 1) & (F.col("price_regime") == "high")))
+    listed = elasticity.with_elasticity(listed, rows)
+    return elasticity.impute_slope(listed).select(KEY, *SEGMENT_COLS, r("elasticity_slope"))
+
+
+# --- splits and order ------------------------------------------------------------------
+
+
+def hash_split(spark, sf):
+    train, test = splits.hash_split(listings(spark, sf), [KEY])
+    return train.select(KEY, F.lit("train").alias("split")).unionByName(test.select(KEY, F.lit("test").alias("split")))
+
+
+def three_way_split(spark, sf):
+    return splits.with_split(listings(spark, sf), [KEY]).select(KEY, "split")
+
+
+def chunk_split(spark, sf):
+    return splits.with_chunk(listings(spark, sf), [KEY], 5, epoch=3).groupBy("chunk").agg(
+        F.count(F.lit(1)).alias("listing_count"), F.min(KEY).alias("first_key"), F.max(KEY).alias("last_key")
+    )
+
+
+def top_k(spark, sf):
+    return ordering.top(clipped(spark, sf), 25, "listing_price", KEY).select(KEY, "city", "listing_price")
+
+
+def hash_sample_topn(spark, sf):
+    return splits.hash_top(listings(spark, sf), [KEY], 100).select(KEY, "city", "listing_price")
+
+
+def random_topn(spark, sf):
+    return splits.random_top(listings(spark, sf), 10).select(KEY, "city", "listing_price")
+
+
+def season_order(spark, sf):
+    counted = listings(spark, sf).groupBy(*SEGMENT_COLS).agg(F.count(F.lit(1)).alias("listing_count"))
+    ranked = counted.withColumn("season_rank", ordering.season_rank(F.col("season")))
+    return ordering.by_season(ranked, "city")
+
+
+def bernoulli_sample(spark, sf):
+    return splits.sample_about(listings(spark, sf), 10_000).select(KEY, "city", "listing_price")
+
+
+# --- pricing ---------------------------------------------------------------------------
+
+
+def baseline(listed: DataFrame, with_days: bool = True) -> DataFrame:
+    """Each segment at its median price and mean occupancy, with its regimes."""
+    stats = segments.pricing_segment_stats(listed)
+    seen = listed.groupBy(*SEGMENT_COLS).agg(F.avg("occupancy_rate").alias("baseline_occupancy"))
+    base = stats.join(seen, SEGMENT_COLS).select(
+        *SEGMENT_COLS, F.col("segment_median_price").alias("baseline_price"), "baseline_occupancy",
+        *([F.col("avg_days_in_period").alias("days_in_segment")] if with_days else []),
+    )
+    return materialise(demand.with_regimes(base, elastic_rows(listed)))
+
+
+GRID = 25
+
+
+def price_grid(spark, sf):
+    curve = demand.demand_curve(baseline(held(spark, sf)), points=500)
+    return curve.select(*SEGMENT_COLS, "segment_name", "candidate_id", "grid_index", r("price", 9))
+
+
+def demand_curve(spark, sf):
+    curve = demand.demand_curve(baseline(held(spark, sf)), points=500)
+    return curve.select(
+        *SEGMENT_COLS, "candidate_id", r("price", 9), r("predicted_occupancy"), r("daily_revenue"), r("elasticity_slope")
+    )
+
+
+def annual_revenue(spark, sf):
+    listed = held(spark, sf)
+    curve = demand.demand_curve(baseline(listed, with_days=False), points=500)
+    out = demand.annual_revenue(curve, segments.days_per_segment(listed))
+    return out.select(*SEGMENT_COLS, "candidate_id", r("days_in_segment"), r("annual_revenue", 4))
+
+
+def market_properties(listed: DataFrame) -> DataFrame:
+    return demand.representative_property(segments.market_profile(listed), "STANDARD")
+
+
+def representative_property(spark, sf):
+    out = market_properties(held(spark, sf))
+    texts = ["city", "host_is_superhost", "multi", "biz", "room_type", "capacity_bin"]
+    return out.select(*texts, *[r(c, 9) for c in out.columns if c not in texts])
+
+
+REPRICED = [
+    "listing_price", "log_price", "price_per_person", "price_per_bedroom", "price_x_satisfaction", "price_per_dist_km",
+    "price_vs_segment_median", "price_vs_segment_avg", "relative_price_volatility", "elasticity_slope",
+]
+
+
+def _repriced(spark, sf, mode: str) -> DataFrame:
+    listed = held(spark, sf)
+    stats = segments.pricing_segment_stats(listed)
+    base = demand.baseline_features(stats, market_properties(listed), elastic_rows(listed), mode)
+    dearer = demand.reprice(base, F.col("segment_median_price") * F.lit(1.2), mode)
+    return dearer.select(*SEGMENT_COLS, *[r(c) for c in REPRICED])
+
+
+def reprice_features(spark, sf):
+    """Every market's property in each segment, 20% above the median price."""
+    return _repriced(spark, sf, "train")
+
+
+def reprice_features_serving(spark, sf):
+    return _repriced(spark, sf, "serving")
+
+
+def solved(listed: DataFrame, points: int = GRID) -> tuple[DataFrame, DataFrame]:
+    return optimize.optimal_prices(demand.annual_revenue(demand.demand_curve(baseline(listed), points=points)))
+
+
+def optimal_prices(spark, sf):
+    """Optimal prices of all markets on a grid of 25 prices."""
+    rows, _ = solved(held(spark, sf))
+    return rows.select(*SEGMENT_COLS, "grid_index", r("price", 9), r("predicted_occupancy"), r("annual_revenue", 4))
+
+
+def optimal_prices_full_grid(spark, sf):
+    rows, _ = solved(held(spark, sf), 500)
+    return rows.select(*SEGMENT_COLS, "grid_index", r("price", 9), r("predicted_occupancy"), r("annual_revenue", 4))
+
+
+def solution_status(spark, sf):
+    _, status = solved(held(spark, sf))
+    return status
+
+
+def lift_report(spark, sf):
+    out = report.lift_report(solved(held(spark, sf))[0])
+    changes = ["price_change_pct", "occupancy_change_pct", "revenue_lift_pct"]
+    money = ["baseline_annual_revenue", "annual_revenue", "revenue_lift"]
+    return out.select(*SEGMENT_COLS, "segment_name", *[r(c, 5) for c in changes], *[r(c, 4) for c in money])
+
+
+def price_schedule(spark, sf):
+    return report.price_schedule(report.lift_report(solved(held(spark, sf), 500)[0]))
+
+
+def portfolio_kpis(spark, sf):
+    out = report.portfolio_kpis(report.lift_report(solved(held(spark, sf))[0]))
+    return out.select("city", *[r(c, 4) for c in out.columns if c != "city"])
+
+
+def weekend_premium(spark, sf):
+    out = report.weekend_premium(report.lift_report(solved(held(spark, sf))[0]))
+    return out.select("city", "best_segment", *[r(c, 5) for c in ("weekend_price", "weekday_price", "premium_pct", "best_lift_pct")])
+
+
+def business_summary(spark, sf):
+    listed = held(spark, sf)
+    chosen = report.lift_report(solved(listed, 500)[0])
+    return report.business_summary(chosen, market_properties(listed))
+
+
+# --- models ----------------------------------------------------------------------------
+
+INPUTS = [
+    "listing_price", "person_capacity", "quality_score", "price_per_person", "city_center_dist", "metro_dist",
+    "n_bookings", "is_weekend",
+]
+TREES = 10
+
+
+def model_rows(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """Train and test rows with assembled features, written once for repeated passes."""
+    rows = materialise(cleaning.labelled(features(spark, sf)).select(KEY, "label", *INPUTS))
+    train, test = splits.hash_split(rows, [KEY])
+    return learning.assemble(train, INPUTS), learning.assemble(test, INPUTS)
+
+
+SCALED = ["listing_price", "quality_score", "price_per_person"]
+
+
+def standardise(spark, sf):
+    df = held_features(spark, sf)
+    out = learning.scaled_columns(learning.fit_scaler(df, SCALED).transform(df), SCALED)
+    return out.select(KEY, *[r(f"{c}_scaled") for c in SCALED])
+
+
+def linear_fit(spark, sf):
+    rows = materialise(cleaning.labelled(clipped(spark, sf)).select("label", "listing_price", "n_bookings"))
+    names = ["listing_price", "n_bookings"]
+    model = learning.linear_model().fit(learning.assemble(rows, names, "features"))
+    terms = [("intercept", float(model.intercept)), *zip(names, map(float, model.coefficients))]
+    return spark.createDataFrame(terms, "term string, coefficient double").select("term", r("coefficient"))
+
+
+def _guess(spark, sf) -> DataFrame:
+    guess = F.lit(0.9) - F.lit(0.0004) * F.col("listing_price")
+    return cleaning.labelled(clipped(spark, sf)).withColumn("prediction", guess)
+
+
+def regression_metrics(spark, sf):
+    return learning.regression_metrics(_guess(spark, sf), ["season"]).select("season", r("rmse"), r("mae"), r("r2"))
+
+
+def log_scale_metrics(spark, sf):
+    logs = _guess(spark, sf).withColumns({c: F.log1p(c) for c in ("label", "prediction")})
+    return learning.log_scale_metrics(logs, ["season"]).select("season", r("rmse"), r("mae"), r("r2"), r("log_mse"))
+
+
+def gbt_scores(spark, sf):
+    train, test = model_rows(spark, sf)
+    model = learning.boosted_trees(trees=TREES).fit(train)
+    return learning.score(test.drop("features_unscaled"), model, INPUTS).select(KEY, "label", "predicted_occupancy")
+
+
+def forest_scores(spark, sf):
+    train, test = model_rows(spark, sf)
+    model = learning.random_forest(trees=TREES).fit(train)
+    return learning.score(test.drop("features_unscaled"), model, INPUTS).select(KEY, "label", "predicted_occupancy")
+
+
+def model_ranking(spark, sf):
+    """Linear, boosted, forest and network models ranked on held-out listings."""
+    df = features(spark, sf).withColumn("listing_id", F.col(KEY))
+    numeric = [n for n in INPUTS if n != "is_weekend"]
+    quick = mlp.MlpSettings(hidden=(32, 16), dropout=(0.1, 0.1), max_epochs=3, chunks=1)
+    return training.train_models(df, INPUTS, [KEY], numeric, TREES, {"network": quick}).ranking
+
+
+def tree_importance(spark, sf):
+    train, _ = model_rows(spark, sf)
+    return learning.tree_importance(spark, learning.boosted_trees(trees=TREES).fit(train), INPUTS)
+
+
+NET = mlp.MlpSettings(max_epochs=3, chunks=2)
+
+
+def _network(spark, sf) -> tuple[DataFrame, mlp.Mlp]:
+    """A network trained on standardised inputs, and the held-out rows."""
+    train, test = splits.hash_split(held_features(spark, sf).withColumn("label", F.col("occupancy_rate")), [KEY])
+    numeric = [n for n in INPUTS if n != "is_weekend"]
+    scaler = learning.fit_scaler(train, numeric)
+    train, test = (learning.scaled_columns(scaler.transform(p), numeric) for p in (train, test))
+    names = [f"{n}_scaled" for n in numeric] + ["is_weekend"]
+    return test.select(KEY, "label", *names), mlp.train_mlp(train, test, names, [KEY], settings=NET)
+
+
+def mlp_scores(spark, sf):
+    test, model = _network(spark, sf)
+    return mlp.predictions(mlp.network_rows(test, model.names, "label", [KEY]), model).select("key", "label", "prediction")
+
+
+def gradient_importance(spark, sf):
+    test, model = _network(spark, sf)
+    return mlp.gradient_importance(mlp.network_rows(test, model.names, "label", [KEY]), model)
+
+
+def weight_importance(spark, sf):
+    _, model = _network(spark, sf)
+    return mlp.weight_importance(mlp.weight_table(spark, model))
+
+
+def permutation_importance(spark, sf):
+    train, test = model_rows(spark, sf)
+    model = learning.boosted_trees(trees=5).fit(train)
+    rows = test.select("label", F.array(*[F.col(c).cast("double") for c in INPUTS]).alias("features"))
+    vector = model.getFeaturesCol()
+
+    def score(df):
+        return model.transform(df.withColumn(vector, array_to_vector("features")))
+
+    return importance.permutation_importance(rows, INPUTS, score, repeats=2)
+
+
+def _pricing_inputs(spark, sf):
+    """Prepared listings, elasticities, and a boosted model on the full feature set."""
+    raw = held(spark, sf)
+    fitted = encoding.fit_categories(segments.listing_features(raw), CATEGORIES)
+    prepared, _ = build_feature_dataset(raw, categories=fitted)
+    rows = elastic_rows(raw)
+    listed = materialise(elasticity.impute_slope(elasticity.with_elasticity(segments.remove_outliers(prepared), rows)))
+    names = training.input_names(fitted)
+    train = learning.assemble(cleaning.labelled(listed).select("label", *names), names)
+    model = learning.boosted_trees(trees=TREES).fit(train)
+    return listed, rows, model, names, fitted
+
+
+def baseline_scores(spark, sf):
+    return pricing.baseline_scores(*_pricing_inputs(spark, sf), "STANDARD")
+
+
+def recommended_prices(spark, sf):
+    """The whole way from listings to a price schedule, with a fitted demand model."""
+    return pricing.price_markets(*_pricing_inputs(spark, sf), "STANDARD").schedule

@@ -1,6 +1,6 @@
 """Building blocks that keep jobs whole when one key holds a large part of the rows.
 
-``materialise``      cuts lineage with a reliable checkpoint.
+``materialise``      cuts lineage with a table written to the shared checkpoint folder.
 ``join_measured``    joins a summary table back: broadcast only when its measured size allows it.
 ``largest_group``    rows in the biggest group, to choose between one-task and split strategies.
 ``values_at_ranks``  exact order statistics per group, without one task ever seeing a whole group.
@@ -9,6 +9,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -21,22 +22,28 @@ GROUP_ROWS = 1_000_000
 CELLS = 4096
 
 
-def _ensure_checkpoint_dir(spark) -> None:
+def _shared_folder(spark) -> str:
+    """The folder ``spark.checkpoint.dir`` names; a temporary one only in local sessions without it."""
     context = spark.sparkContext
-    if context.getCheckpointDir() is not None:
-        return
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        folder = tempfile.mkdtemp(prefix="lodgecurve-checkpoint-")
-    context.setCheckpointDir(folder)
+    if context.getCheckpointDir() is None:
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None:
+            if not context.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+            folder = tempfile.mkdtemp(prefix="lodgecurve-")
+        context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the checkpoint folder and read it from there ever after."""
-    _ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` once as a table in the shared folder and read it from there ever after.
+
+    What follows no longer depends on executors that computed ``df``, reads only the columns
+    it needs and knows the table's size.
+    """
+    path = f"{_shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def measured_bytes(df: DataFrame) -> int:
