@@ -34,17 +34,23 @@ def clipped(spark, sf) -> DataFrame:
     return cleaning.clip_listings(listings(spark, sf))
 
 
-def held(spark, sf) -> DataFrame:
-    """Clipped listings written once, for operators that read them several times."""
-    return materialise(clipped(spark, sf))
-
-
 def features(spark, sf) -> DataFrame:
     return segments.listing_features(clipped(spark, sf))
 
 
-def held_features(spark, sf) -> DataFrame:
-    return segments.listing_features(held(spark, sf))
+PRICED = [*SEGMENT_COLS, "listing_price"]
+PROFILED = [*SEGMENT_COLS, *segments.PROFILE_MEDIANS.values(), "occupancy_rate", "days_in_period"]
+SOLD = [*PRICED, "occupancy_rate", "days_in_period"]
+
+
+def held(spark, sf, *columns: str) -> DataFrame:
+    """Clipped listings, or some of their columns, written once for operators that read them repeatedly."""
+    df = clipped(spark, sf)
+    return materialise(df.select(*columns) if columns else df)
+
+
+def held_features(spark, sf, *columns: str) -> DataFrame:
+    return segments.listing_features(held(spark, sf, *columns))
 
 
 # --- cleaning --------------------------------------------------------------------------
@@ -158,12 +164,12 @@ ROOM_TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 
 
 def one_hot(spark, sf):
-    out = encoding.one_hot(held_features(spark, sf), ["room_type", "season", "capacity_bin"], drop_originals=True)
+    out = encoding.one_hot(held_features(spark, sf, KEY, "room_type", "season", "listing_price", "person_capacity"), ["room_type", "season", "capacity_bin"], drop_originals=True)
     return out.select(KEY, *sorted(c for c in out.columns if c.startswith("cat_")))
 
 
 def reverse_one_hot(spark, sf):
-    coded = encoding.one_hot(held_features(spark, sf), ["city", "season"], drop_originals=True).drop("weekend")
+    coded = encoding.one_hot(held_features(spark, sf, KEY, *PRICED), ["city", "season"], drop_originals=True).drop("weekend")
     back = encoding.restore_weekend(encoding.reverse_one_hot(encoding.reverse_one_hot(coded, "city"), "season"))
     return back.select(KEY, "city", "season", "weekend")
 
@@ -188,34 +194,34 @@ POSITION_OUT = ["price_vs_segment_median", "price_vs_segment_avg", "relative_pri
 
 
 def segment_stats(spark, sf):
-    return segments.segment_stats(held_features(spark, sf)).select(
+    return segments.segment_stats(held(spark, sf, *PRICED)).select(
         *SEGMENT_COLS, "segment_listing_count", *[r(c) for c in STATS_OUT]
     )
 
 
 def segment_dataset(spark, sf):
-    out = segments.segment_dataset(held_features(spark, sf))
+    out = segments.segment_dataset(features(spark, sf))
     fixed = [*SEGMENT_COLS, "listing_count"]
     return out.select(*fixed, *[r(c) for c in out.columns if c not in fixed])
 
 
 def iqr_bounds(spark, sf):
-    out = segments.iqr_bounds(held_features(spark, sf))
+    out = segments.iqr_bounds(held_features(spark, sf, *PRICED, "bedrooms"))
     return out.select(*SEGMENT_COLS, *[r(c, 9) for c in out.columns if c not in SEGMENT_COLS])
 
 
 def outlier_filter(spark, sf):
-    out = segments.remove_outliers(held_features(spark, sf))
+    out = segments.remove_outliers(held_features(spark, sf, KEY, *PRICED, "bedrooms"))
     return out.select(KEY, *SEGMENT_COLS, r("price_per_bedroom", 9))
 
 
 def outlier_report(spark, sf):
-    out = segments.removal_report(segments.with_outlier_flag(held_features(spark, sf)))
+    out = segments.removal_report(segments.with_outlier_flag(held_features(spark, sf, *PRICED, "bedrooms")))
     return out.select("rows_before", "rows_after", "rows_removed", r("pct_removed"))
 
 
 def competition_features(spark, sf):
-    out = segments.competition_features(held_features(spark, sf))
+    out = segments.competition_features(held(spark, sf, KEY, *PRICED))
     return out.select(KEY, "segment_listing_count", *[r(c) for c in STATS_OUT], *[r(c, 9 if "avg" not in c else 6) for c in POSITION_OUT])
 
 
@@ -228,8 +234,13 @@ def column_profile(spark, sf):
     return out.select(*counts, r("mean_value"), r("std_value"), r("min_value", 9), r("max_value", 9))
 
 
+SUMMARY_INPUTS = [
+    "listing_price", "bedrooms", "guest_satisfaction_overall", "cleanliness_rating", "city_center_dist", "occupancy_rate",
+]
+
+
 def summary_table(spark, sf):
-    out = segments.summary_table(held_features(spark, sf), ["listing_price", "price_per_bedroom", "quality_score", "occupancy_rate"])
+    out = segments.summary_table(held_features(spark, sf, *SUMMARY_INPUTS), ["listing_price", "price_per_bedroom", "quality_score", "occupancy_rate"])
     exact = ["min_value", "max_value", "p25", "p50", "p75"]
     return out.select("column_name", "row_count", r("mean_value"), r("std_value"), *[r(c, 9) for c in exact])
 
@@ -251,12 +262,12 @@ def market_size(spark, sf):
 
 
 def market_profile(spark, sf):
-    out = segments.market_profile(held(spark, sf))
+    out = segments.market_profile(held(spark, sf, "city", *segments.PROFILE_MEDIANS.values()))
     return out.select("city", *[r(c) for c in out.columns if c != "city"])
 
 
 def pricing_segment_stats(spark, sf):
-    out = segments.pricing_segment_stats(held(spark, sf))
+    out = segments.pricing_segment_stats(held(spark, sf, *PRICED, "days_in_period"))
     fixed = [*SEGMENT_COLS, "listing_count"]
     return out.select(*fixed, *[r(c) for c in out.columns if c not in fixed])
 
@@ -275,7 +286,7 @@ def distinct_values(spark, sf):
 
 
 def price_deciles(spark, sf):
-    out = segments.price_deciles(held(spark, sf))
+    out = segments.price_deciles(held(spark, sf, "city", "listing_price"))
     fixed = ["city", "listing_count"]
     return out.select(*fixed, *[r(c) for c in out.columns if c not in fixed])
 
@@ -295,7 +306,7 @@ def feature_dataset(spark, sf):
 
 
 def bins(spark, sf) -> DataFrame:
-    return elasticity.price_bins(held(spark, sf))
+    return elasticity.price_bins(held(spark, sf, *SOLD))
 
 
 def fit(spark, sf) -> DataFrame:
@@ -333,26 +344,26 @@ def slope_classes(spark, sf):
 
 
 def elasticity_json(spark, sf):
-    return elasticity.elasticity_documents(elastic_rows(held(spark, sf)))
+    return elasticity.elasticity_documents(elastic_rows(held(spark, sf, *SOLD)))
 
 
 def elasticity_flatten(spark, sf):
     """Elasticity rows written to nested JSON text and read back."""
-    documents = elasticity.elasticity_documents(elastic_rows(held(spark, sf)))
+    documents = elasticity.elasticity_documents(elastic_rows(held(spark, sf, *SOLD)))
     return elasticity.flatten_documents(documents).select(
         *SEGMENT_COLS, "price_regime", r("elasticity_slope"), r("breakpoint_log_price")
     )
 
 
 def regime_lookup(spark, sf):
-    listed = held_features(spark, sf)
+    listed = held_features(spark, sf, KEY, *SOLD)
     out = elasticity.with_elasticity(listed, elastic_rows(listed))
     return out.select(KEY, *SEGMENT_COLS, r("elasticity_slope"))
 
 
 def impute_slope(spark, sf):
     """Slopes of the high regime are missing on weekends and filled from the low regime."""
-    listed = held_features(spark, sf)
+    listed = held_features(spark, sf, KEY, *SOLD)
     rows = elastic_rows(listed).where(~((F.col("weekend") == 1) & (F.col("price_regime") == "high")))
     listed = elasticity.with_elasticity(listed, rows)
     return elasticity.impute_slope(listed).select(KEY, *SEGMENT_COLS, r("elasticity_slope"))
@@ -403,9 +414,8 @@ def bernoulli_sample(spark, sf):
 
 def baseline(listed: DataFrame, with_days: bool = True) -> DataFrame:
     """Each segment at its median price and mean occupancy, with its regimes."""
-    stats = segments.pricing_segment_stats(listed)
-    seen = listed.groupBy(*SEGMENT_COLS).agg(F.avg("occupancy_rate").alias("baseline_occupancy"))
-    base = stats.join(seen, SEGMENT_COLS).select(
+    stats = segments.pricing_segment_stats(listed, extra=[F.avg("occupancy_rate").alias("baseline_occupancy")])
+    base = stats.select(
         *SEGMENT_COLS, F.col("segment_median_price").alias("baseline_price"), "baseline_occupancy",
         *([F.col("avg_days_in_period").alias("days_in_segment")] if with_days else []),
     )
@@ -416,19 +426,19 @@ GRID = 25
 
 
 def price_grid(spark, sf):
-    curve = demand.demand_curve(baseline(held(spark, sf)), points=500)
+    curve = demand.demand_curve(baseline(held(spark, sf, *SOLD)), points=500)
     return curve.select(*SEGMENT_COLS, "segment_name", "candidate_id", "grid_index", r("price", 9))
 
 
 def demand_curve(spark, sf):
-    curve = demand.demand_curve(baseline(held(spark, sf)), points=500)
+    curve = demand.demand_curve(baseline(held(spark, sf, *SOLD)), points=500)
     return curve.select(
         *SEGMENT_COLS, "candidate_id", r("price", 9), r("predicted_occupancy"), r("daily_revenue"), r("elasticity_slope")
     )
 
 
 def annual_revenue(spark, sf):
-    listed = held(spark, sf)
+    listed = held(spark, sf, *SOLD)
     curve = demand.demand_curve(baseline(listed, with_days=False), points=500)
     out = demand.annual_revenue(curve, segments.days_per_segment(listed))
     return out.select(*SEGMENT_COLS, "candidate_id", r("days_in_segment"), r("annual_revenue", 4))
@@ -439,7 +449,7 @@ def market_properties(listed: DataFrame) -> DataFrame:
 
 
 def representative_property(spark, sf):
-    out = market_properties(held(spark, sf))
+    out = market_properties(held(spark, sf, "city", *segments.PROFILE_MEDIANS.values()))
     texts = ["city", "host_is_superhost", "multi", "biz", "room_type", "capacity_bin"]
     return out.select(*texts, *[r(c, 9) for c in out.columns if c not in texts])
 
@@ -451,7 +461,7 @@ REPRICED = [
 
 
 def _repriced(spark, sf, mode: str) -> DataFrame:
-    listed = held(spark, sf)
+    listed = held(spark, sf, *PROFILED)
     stats = segments.pricing_segment_stats(listed)
     base = demand.baseline_features(stats, market_properties(listed), elastic_rows(listed), mode)
     dearer = demand.reprice(base, F.col("segment_median_price") * F.lit(1.2), mode)
@@ -473,43 +483,43 @@ def solved(listed: DataFrame, points: int = GRID) -> tuple[DataFrame, DataFrame]
 
 def optimal_prices(spark, sf):
     """Optimal prices of all markets on a grid of 25 prices."""
-    rows, _ = solved(held(spark, sf))
+    rows, _ = solved(held(spark, sf, *SOLD))
     return rows.select(*SEGMENT_COLS, "grid_index", r("price", 9), r("predicted_occupancy"), r("annual_revenue", 4))
 
 
 def optimal_prices_full_grid(spark, sf):
-    rows, _ = solved(held(spark, sf), 500)
+    rows, _ = solved(held(spark, sf, *SOLD), 500)
     return rows.select(*SEGMENT_COLS, "grid_index", r("price", 9), r("predicted_occupancy"), r("annual_revenue", 4))
 
 
 def solution_status(spark, sf):
-    _, status = solved(held(spark, sf))
+    _, status = solved(held(spark, sf, *SOLD))
     return status
 
 
 def lift_report(spark, sf):
-    out = report.lift_report(solved(held(spark, sf))[0])
+    out = report.lift_report(solved(held(spark, sf, *SOLD))[0])
     changes = ["price_change_pct", "occupancy_change_pct", "revenue_lift_pct"]
     money = ["baseline_annual_revenue", "annual_revenue", "revenue_lift"]
     return out.select(*SEGMENT_COLS, "segment_name", *[r(c, 5) for c in changes], *[r(c, 4) for c in money])
 
 
 def price_schedule(spark, sf):
-    return report.price_schedule(report.lift_report(solved(held(spark, sf), 500)[0]))
+    return report.price_schedule(report.lift_report(solved(held(spark, sf, *SOLD), 500)[0]))
 
 
 def portfolio_kpis(spark, sf):
-    out = report.portfolio_kpis(report.lift_report(solved(held(spark, sf))[0]))
+    out = report.portfolio_kpis(report.lift_report(solved(held(spark, sf, *SOLD))[0]))
     return out.select("city", *[r(c, 4) for c in out.columns if c != "city"])
 
 
 def weekend_premium(spark, sf):
-    out = report.weekend_premium(report.lift_report(solved(held(spark, sf))[0]))
+    out = report.weekend_premium(report.lift_report(solved(held(spark, sf, *SOLD))[0]))
     return out.select("city", "best_segment", *[r(c, 5) for c in ("weekend_price", "weekday_price", "premium_pct", "best_lift_pct")])
 
 
 def business_summary(spark, sf):
-    listed = held(spark, sf)
+    listed = held(spark, sf, *PROFILED)
     chosen = report.lift_report(solved(listed, 500)[0])
     return report.business_summary(chosen, market_properties(listed))
 
@@ -534,7 +544,7 @@ SCALED = ["listing_price", "quality_score", "price_per_person"]
 
 
 def standardise(spark, sf):
-    df = held_features(spark, sf)
+    df = held_features(spark, sf, KEY, "person_capacity", *SUMMARY_INPUTS)
     out = learning.scaled_columns(learning.fit_scaler(df, SCALED).transform(df), SCALED)
     return out.select(KEY, *[r(f"{c}_scaled") for c in SCALED])
 
@@ -589,9 +599,12 @@ def tree_importance(spark, sf):
 NET = mlp.MlpSettings(max_epochs=3, chunks=2)
 
 
+NET_COLUMNS = [KEY, *SEGMENT_COLS, *segments.PROFILE_MEDIANS.values(), "n_bookings", "occupancy_rate"]
+
+
 def _network(spark, sf) -> tuple[DataFrame, mlp.Mlp]:
     """A network trained on standardised inputs, and the held-out rows."""
-    train, test = splits.hash_split(held_features(spark, sf).withColumn("label", F.col("occupancy_rate")), [KEY])
+    train, test = splits.hash_split(held_features(spark, sf, *NET_COLUMNS).withColumn("label", F.col("occupancy_rate")), [KEY])
     numeric = [n for n in INPUTS if n != "is_weekend"]
     scaler = learning.fit_scaler(train, numeric)
     train, test = (learning.scaled_columns(scaler.transform(p), numeric) for p in (train, test))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodgecurve.functions.features import listing_expressions, market_position
@@ -221,8 +223,8 @@ def market_profile(df: DataFrame, market: str = "city") -> DataFrame:
     return aggregate_with_quantiles(df, [market], [], {a: (c, 0.5) for a, c in PROFILE_MEDIANS.items()})
 
 
-def pricing_segment_stats(df: DataFrame, segment_cols: list[str] = SEGMENT_COLS) -> DataFrame:
-    """Segment statistics for pricing: those of ``segment_stats`` with days and volatility."""
+def pricing_segment_stats(df: DataFrame, segment_cols: list[str] = SEGMENT_COLS, extra: Sequence[Column] = ()) -> DataFrame:
+    """Segment statistics for pricing: those of ``segment_stats`` with days, volatility and ``extra`` aggregates."""
     price = price_column(df)
     out = aggregate_with_quantiles(
         df,
@@ -232,6 +234,7 @@ def pricing_segment_stats(df: DataFrame, segment_cols: list[str] = SEGMENT_COLS)
             F.avg(price).alias("segment_avg_price"),
             F.stddev(price).alias("segment_price_std"),
             F.avg("days_in_period").alias("avg_days_in_period"),
+            *extra,
         ],
         {
             "segment_median_price": (price, 0.5),
