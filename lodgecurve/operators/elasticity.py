@@ -182,7 +182,8 @@ def breakpoint_fit(bins: DataFrame, keys: list[str] = SEGMENT_COLS, min_bins: in
     tiny = F.lit(1e-300)
     one = n * F.ln(F.greatest(_line_error(tsums), tiny) / n) + 2.0 * F.ln(n)
     two = n * F.ln(F.greatest(F.col("best.error"), tiny) / n) + 5.0 * F.ln(n)
-    pays = F.col("best").isNotNull() if force_two else F.coalesce(two < one, F.lit(False))
+    splits = F.col("best").isNotNull()
+    pays = splits if force_two else splits & (two < one)
     split = (
         summed.withColumn("candidate", candidate)
         .withColumn("best", F.min("candidate").over(segment))

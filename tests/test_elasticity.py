@@ -1,0 +1,123 @@
+import math
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from lodgecurve.functions.response import occupancy_at
+from lodgecurve.operators import elasticity
+from lodgecurve.schemas import ELASTICITY_SCHEMA, SEGMENT_COLS
+
+# The lowest and highest published slope of each class, and the six slopes of one market.
+CLASS_EXTREMES = [
+    ("positive", 0.1641301605443232), ("highly_inelastic", 0.14436542794389898), ("highly_inelastic", -0.14997544095410173),
+    ("inelastic", -0.15602702469794738), ("inelastic", -0.946408561511574), ("unit_elastic", -0.9518841424097315),
+    ("unit_elastic", -1.0407846113182955), ("elastic", -1.064688134201453), ("elastic", -1.2201693432675256),
+]
+
+
+def test_slope_classes(spark):
+    df = spark.createDataFrame([*CLASS_EXTREMES, (None, None)], "label string, s double")
+    for r in df.select("label", elasticity.slope_class(F.col("s")).alias("found")).collect():
+        assert r["label"] == r["found"]
+
+
+def line_error(points):
+    n = len(points)
+    mx, my = sum(p[0] for p in points) / n, sum(p[1] for p in points) / n
+    sxx = sum((x - mx) ** 2 for x, _ in points)
+    sxy = sum((x - mx) * (y - my) for x, y in points)
+    return sum((y - my) ** 2 for _, y in points) - sxy * sxy / sxx, sxy / sxx
+
+
+def test_breakpoint_matches_brute_force(spark):
+    rng = random.Random(5)
+    rows, want = [], {}
+    for s in range(12):
+        xs = sorted(rng.uniform(3, 7) for _ in range(20))
+        turn = rng.uniform(4, 6)
+        points = [(x, -0.1 * x if x < turn else -0.1 * turn - 0.9 * (x - turn)) for x in xs]
+        points = [(x, y + rng.gauss(0, 0.01)) for x, y in points]
+        rows += [(f"c{s}", "high", 0, b + 1, x, y) for b, (x, y) in enumerate(points)]
+        k = min(range(3, 18), key=lambda k: line_error(points[:k])[0] + line_error(points[k:])[0])
+        want[f"c{s}"] = (k, line_error(points[:k])[1], line_error(points[k:])[1], (xs[k - 1] + xs[k]) / 2)
+    df = spark.createDataFrame(rows, "city string, season string, weekend int, bin int, x double, y double")
+    found = {(r["city"], r["price_regime"]): r for r in elasticity.breakpoint_fit(df, force_two=True).collect()}
+    for city, (k, low, high, turn) in want.items():
+        a, b = found[city, "low"], found[city, "high"]
+        assert (a["n_bins"], b["n_bins"]) == (k, 20 - k) and (a["price_range"], b["price_range"]) == ("lower", "upper")
+        assert (a["slope"], b["slope"]) == pytest.approx((low, high), rel=1e-9)
+        assert a["breakpoint_log_price"] == b["breakpoint_log_price"] == pytest.approx(turn)
+
+
+def test_one_line_is_kept_when_two_do_not_pay(spark):
+    rng = random.Random(2)
+    rows = [("a", "low", 0, b, b / 4, -0.5 * b / 4 + rng.gauss(0, 0.05)) for b in range(1, 21)]
+    rows += [("few", "low", 0, b, float(b), -float(b * b)) for b in range(1, 6)]
+    df = spark.createDataFrame(rows, "city string, season string, weekend int, bin int, x double, y double")
+    found = elasticity.breakpoint_fit(df).orderBy("city").collect()
+    assert [(r["city"], r["price_regime"], r["n_bins"], r["breakpoint_log_price"]) for r in found] == [
+        ("a", "all", 20, None), ("few", "all", 5, None)]
+    ols = elasticity.segment_ols(df).where("city = 'a'").first()
+    assert found[0]["slope"] == pytest.approx(ols["slope"])
+
+
+def test_documents_round_trip(spark):
+    rows = [("new_york", "high", 1, "low", -0.1, 5.5), ("new_york", "high", 1, "high", -0.9, 5.5), ("rome", "low", 0, "all", -0.4, None)]
+    df = spark.createDataFrame(rows, ELASTICITY_SCHEMA)
+    back = elasticity.flatten_documents(elasticity.elasticity_documents(df))
+    assert sorted(map(tuple, back.collect())) == sorted(rows)
+    assert elasticity.flatten_documents(elasticity.elasticity_documents(df), city="rome").count() == 1
+
+
+def test_document_rules(spark):
+    text = (
+        '{"a_low_season_weekday": {"regimes": [{"slope": -0.1}, {"slope": -0.9}]},'
+        ' "b_low_season_weekend": {"breakpoint_log_price": 4.0, "regimes": []},'
+        ' "bad_key": {"regimes": [{"slope": 1.0}]},'
+        ' "c_low_season_weekend": {"breakpoint_log_price": 4.0, "regimes": [{"slope": -0.2}]}}'
+    )
+    out = elasticity.flatten_documents(spark.createDataFrame([(text,)], "value string"))
+    assert sorted(map(tuple, out.collect())) == [("a", "low", 0, "all", -0.1, None), ("c", "low", 1, "all", -0.2, None)]
+    three = '{"a_low_season_weekday": {"regimes": [{"slope": 1}, {"slope": 2}, {"slope": 3}]}}'
+    with pytest.raises(Exception, match="more than two regimes"):
+        elasticity.flatten_documents(spark.createDataFrame([(three,)], "value string")).collect()
+
+
+def test_regime_lookup_at_the_breakpoint_and_imputation(spark):
+    rows = spark.createDataFrame(
+        [("a", "low", 0, "low", -0.1, 5.0), ("a", "low", 0, "high", -0.9, 5.0), ("b", "low", 0, "all", -0.4, None),
+         ("c", "low", 0, "low", -0.2, 5.0)], ELASTICITY_SCHEMA)
+    listed = spark.createDataFrame(
+        [("a", "low", 0, 4.99), ("a", "low", 0, 5.0), ("b", "low", 0, 9.0), ("c", "low", 0, 4.0), ("c", "low", 0, 6.0),
+         ("d", "low", 0, 1.0)],
+        "city string, season string, weekend int, log_price double")
+    out = elasticity.with_elasticity(listed, rows)
+    assert [r["elasticity_slope"] for r in out.orderBy("city", "log_price").collect()] == [-0.1, -0.9, -0.4, -0.2, None, None]
+    filled = elasticity.impute_slope(out)
+    assert [r["elasticity_slope"] for r in filled.orderBy("city", "log_price").collect()] == [-0.1, -0.9, -0.4, -0.2, -0.2, None]
+
+
+def response(p0, p, occ, b, slopes):
+    """Reference values worked out by hand rules: one step per regime passed."""
+    def step(o, start, end, e):
+        return o * (1 + e * (end - start) / start)
+    if b is None:
+        out = step(occ, p0, p, slopes[0])
+    elif (p0 < b) == (p < b):
+        out = step(occ, p0, p, slopes[0] if p0 < b else slopes[1])
+    else:
+        first, second = (slopes if p0 < b else slopes[::-1])
+        out = step(step(occ, p0, b, first), b, p, second)
+    return max(0.0, min(1.0, out))
+
+
+def test_occupancy_response(spark):
+    cases = [(100.0, p, 0.7, b, (-0.2, -0.9)) for p in (50.0, 99.0, 100.0, 120.0, 121.0, 400.0) for b in (None, 80.0, 100.0, 120.0)]
+    cases += [(100.0, 10.0, 0.9, None, (-2.0, 0.0)), (100.0, 300.0, 0.9, 90.0, (-0.1, -2.0))]
+    data = [(p0, p, o, b, s[0] if b is None else None, *(s if b else (None, None))) for p0, p, o, b, s in cases]
+    df = spark.createDataFrame(data, "p0 double, p double, o double, b double, s double, l double, h double")
+    got = df.select(occupancy_at(*[F.col(c) for c in ("p", "p0", "o", "b", "s", "l", "h")]).alias("v")).collect()
+    assert [r["v"] for r in got] == pytest.approx([response(*c) for c in cases], abs=1e-12)
+    assert not any(math.isnan(r["v"]) for r in got)
+    assert SEGMENT_COLS == ["city", "season", "weekend"]
