@@ -10,15 +10,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _spread(df: DataFrame) -> DataFrame:
+def _spread(df: DataFrame, key: str) -> DataFrame:
     """Deal rows to all cores when the files give fewer splits than there are cores, as small files do."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
 
 
 def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One listing per order line. Join strategies are left to table sizes."""
-    lines = _spread(table(spark, sf_dir, "lineitem"))
+    lines = _spread(table(spark, sf_dir, "lineitem"), "l_orderkey")
     orders = table(spark, sf_dir, "orders")
     customers = table(spark, sf_dir, "customer")
     nations = table(spark, sf_dir, "nation")

@@ -448,4 +448,27 @@ ORACLE = {
       SELECT season, round(sqrt(avg((p - y) * (p - y))), 6) AS rmse, round(avg(abs(p - y)), 6) AS mae,
       round(1e0 - avg((p - y) * (p - y)) / var_pop(y), 6) AS r2,
       round(avg((lp - ly) * (lp - ly)), 6) AS log_mse FROM l GROUP BY season""",
+    "prepared_listings": _with(LISTINGS_SQL, CLIPPED_SQL, FEATURES_SQL, STATS_SQL)
+    + """, quarts AS (SELECT city, season, weekend, quantile_disc(price_per_bedroom, 0.25) AS q1,
+        quantile_disc(price_per_bedroom, 0.75) AS q3 FROM features GROUP BY ALL),
+      inliers AS (SELECT * FROM features JOIN quarts USING (city, season, weekend)
+        WHERE price_per_bedroom BETWEEN q1 - 1.5e0 * (q3 - q1) AND q3 + 1.5e0 * (q3 - q1)), """
+    + ", ".join([BINS_SQL.replace("FROM clipped", "FROM inliers").strip(), FIT_SQL.strip(), REGIMES_SQL.strip()])
+    + """
+      SELECT listing_key, city, season, weekend, cast(season = 'high' AS INT) AS cat_season_high, segment_listing_count,
+      round(segment_avg_price, 6) AS segment_avg_price, round(price_per_bedroom, 9) AS price_per_bedroom,
+      round(listing_price / greatest(segment_median_price, 1e0), 9) AS price_vs_segment_median,
+      round(coalesce(slope_all, CASE WHEN log_price < bp THEN slope_low ELSE slope_high END), 6) AS elasticity_slope
+      FROM inliers JOIN stats USING (city, season, weekend) JOIN regimes USING (city, season, weekend)""",
+    "ingest_csv": LISTED
+    + """SELECT listing_key, listing_price, room_type, CASE WHEN biz = 0 THEN host_is_superhost END AS host_is_superhost,
+      weekend, multi, biz, days_booked, season FROM listings""",
+    "elasticity_files": FITTED
+    + f"""SELECT {SEG}, price_regime, round(slope, 6) AS elasticity_slope,
+      round(breakpoint_log_price, 6) AS breakpoint_log_price FROM fit""",
+    "segment_frame": """SELECT lower(n_name) AS city, season, weekend,
+      season || '_season_' || CASE weekend WHEN 1 THEN 'weekend' ELSE 'weekday' END AS segment_name
+      FROM (SELECT DISTINCT n_name FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+        JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey)
+      CROSS JOIN (VALUES ('high'), ('shoulder'), ('low')) AS s(season) CROSS JOIN (VALUES (0), (1)) AS w(weekend)""",
 }

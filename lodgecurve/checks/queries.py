@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,11 +13,13 @@ from lodgecurve.functions import values as V
 from lodgecurve.operators import (
     cleaning, demand, elasticity, encoding, importance, learning, mlp, optimize, ordering, report, segments, splits,
 )
-from lodgecurve.operators.scale import materialise
+from lodgecurve.operators.scale import materialise, shared_folder
 from lodgecurve.plans import pricing, training
-from lodgecurve.plans.features import CATEGORIES
+from lodgecurve.plans.features import CATEGORIES, prepare_listings
 from lodgecurve.plans.features import feature_dataset as build_feature_dataset
+from lodgecurve.plans.ingest import ingest
 from lodgecurve.schemas import SEGMENT_COLS
+from lodgecurve.sources import readers, writers
 
 KEY = "listing_key"
 
@@ -639,13 +643,22 @@ def permutation_importance(spark, sf):
     return importance.permutation_importance(rows, INPUTS, score, repeats=2)
 
 
+def prepared_listings(spark, sf):
+    """Listings ready for training: features, one-hot seasons, no outliers, price elasticity."""
+    fitted = {"season": {f"cat_season_{s}": [s] for s in ("high", "low", "shoulder")}}
+    out, _ = prepare_listings(held(spark, sf), categories=fitted)
+    return out.select(
+        KEY, *SEGMENT_COLS, "cat_season_high", "segment_listing_count", r("segment_avg_price"), r("price_per_bedroom", 9),
+        r("price_vs_segment_median", 9), r("elasticity_slope"),
+    )
+
+
 def _pricing_inputs(spark, sf):
     """Prepared listings, elasticities, and a boosted model on the full feature set."""
     raw = held(spark, sf)
     fitted = encoding.fit_categories(segments.listing_features(raw), CATEGORIES)
-    prepared, _ = build_feature_dataset(raw, categories=fitted)
     rows = elastic_rows(raw)
-    listed = materialise(elasticity.impute_slope(elasticity.with_elasticity(segments.remove_outliers(prepared), rows)))
+    listed = materialise(prepare_listings(raw, rows, categories=fitted)[0])
     names = training.input_names(fitted)
     train = learning.assemble(cleaning.labelled(listed).select("label", *names), names)
     model = learning.boosted_trees(trees=TREES).fit(train)
@@ -659,3 +672,43 @@ def baseline_scores(spark, sf):
 def recommended_prices(spark, sf):
     """The whole way from listings to a price schedule, with a fitted demand model."""
     return pricing.price_markets(*_pricing_inputs(spark, sf), "STANDARD").schedule
+
+
+# --- files -----------------------------------------------------------------------------
+
+
+def _place(spark) -> str:
+    return f"{shared_folder(spark)}/files-{uuid.uuid4().hex}"
+
+
+def ingest_csv(spark, sf):
+    """Listings written as a raw CSV, with spaced names and flags in words, and ingested again."""
+    place = _place(spark)
+    raw = listings(spark, sf).select(
+        F.col(KEY).alias("Listing Key"), F.col("listing_price").alias("Listing Price"), F.col("room_type").alias("Room-Type"),
+        _word("host_is_superhost").alias("Host Is Superhost"), (F.col("weekend") == 1).alias("weekend"), "multi",
+        F.when(F.col("biz") == 1, "yes").otherwise("no").alias("biz"), F.col("days_booked").cast("int").alias("days_booked"),
+        "season",
+    )
+    writers.write_csv(raw, f"{place}/csv")
+    return ingest(spark, f"{place}/csv", f"{place}/table")
+
+
+def elasticity_files(spark, sf):
+    """Elasticity rows through both file formats: row lines, then nested documents."""
+    place = _place(spark)
+    writers.write_json_lines(elastic_rows(held(spark, sf, *SOLD)), f"{place}/rows")
+    writers.write_elasticity(readers.read_elasticity_rows(spark, f"{place}/rows"), f"{place}/documents")
+    return readers.read_elasticity_documents(spark, f"{place}/documents").select(
+        *SEGMENT_COLS, "price_regime", r("elasticity_slope"), r("breakpoint_log_price")
+    )
+
+
+def segment_frame(spark, sf):
+    return readers.segment_frame(listings(spark, sf).select("city").distinct())
+
+
+def preview(spark, sf):
+    place = _place(spark)
+    writers.write_preview(segments.market_size(clipped(spark, sf)), place)
+    return readers.read_listings_csv(spark, place)

@@ -19,6 +19,7 @@ optimal_prices optimal_prices_full_grid solution_status lift_report price_schedu
 business_summary
 standardise linear_fit regression_metrics log_scale_metrics gbt_scores forest_scores model_ranking tree_importance
 mlp_scores gradient_importance weight_importance permutation_importance baseline_scores recommended_prices
+prepared_listings ingest_csv elasticity_files segment_frame preview
 """
 
 QUERIES = {name: getattr(q, name) for name in _NAMES.split()}

@@ -22,7 +22,7 @@ GROUP_ROWS = 1_000_000
 CELLS = 4096
 
 
-def _shared_folder(spark) -> str:
+def shared_folder(spark) -> str:
     """The folder ``spark.checkpoint.dir`` names; a temporary one only in local sessions without it."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
@@ -41,7 +41,7 @@ def materialise(df: DataFrame) -> DataFrame:
     What follows no longer depends on executors that computed ``df``, reads only the columns
     it needs and knows the table's size.
     """
-    path = f"{_shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -134,10 +134,13 @@ def values_at_ranks(
     zones = zones.select(*keys, "n", wanted.alias("wanted"), F.lit(0).cast("bigint").alias("below"), *["rows", "lo", "hi", "finite_lo", "finite_hi"])
 
     open_zone = (F.col("rows") > limit) & (F.col("finite_lo") < F.col("finite_hi"))
+    left = None
     while True:
         zones = materialise(zones)
-        if zones.where(open_zone).isEmpty():
+        open_rows = zones.where(open_zone).agg(F.sum("rows").alias("n")).first()["n"]
+        if open_rows is None or open_rows == left:  # done, or values too close to tell apart
             break
+        left = open_rows
         zones = zones.where(~F.coalesce(open_zone, F.lit(False))).unionByName(
             _narrowed(rows, zones.where(open_zone), keys, extent)
         )

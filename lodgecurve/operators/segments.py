@@ -71,8 +71,13 @@ SEGMENT_MEANS = {
 }
 
 
-def segment_dataset(df: DataFrame, segment_cols: list[str] = SEGMENT_COLS) -> DataFrame:
-    """One row per segment: supply, price distribution, quality, host mix and demand."""
+def segment_dataset(
+    df: DataFrame, segment_cols: list[str] = SEGMENT_COLS, extra_quantiles: dict[str, tuple[str, float]] | None = None
+) -> DataFrame:
+    """One row per segment: supply, price distribution, quality, host mix and demand.
+
+    ``extra_quantiles`` adds quantiles, by name, to the same aggregation.
+    """
     price = price_column(df)
     require_columns(df, segment_cols)
     means = [F.avg(F.col(c).cast("double")).alias(a) for c, a in SEGMENT_MEANS.items() if c in df.columns]
@@ -85,13 +90,13 @@ def segment_dataset(df: DataFrame, segment_cols: list[str] = SEGMENT_COLS) -> Da
             F.stddev(price).alias("std_price"),
             *means,
         ],
-        {"median_price": (price, 0.5), "p10_price": (price, 0.1), "p90_price": (price, 0.9)},
+        {"median_price": (price, 0.5), "p10_price": (price, 0.1), "p90_price": (price, 0.9)} | (extra_quantiles or {}),
     )
     return out.withColumn("log_demand", F.log1p(F.col("listing_count").cast("double")))
 
 
-def stats_from_dataset(dataset: DataFrame, segment_cols: list[str] = SEGMENT_COLS) -> DataFrame:
-    """The columns of ``segment_stats`` taken from a segment dataset, so both cost one aggregation."""
+def stats_from_dataset(dataset: DataFrame, segment_cols: list[str] = SEGMENT_COLS, *more: str) -> DataFrame:
+    """The columns of ``segment_stats``, and ``more``, from a segment dataset, so both cost one aggregation."""
     names = {
         "listing_count": "segment_listing_count",
         "avg_price": "segment_avg_price",
@@ -104,27 +109,36 @@ def stats_from_dataset(dataset: DataFrame, segment_cols: list[str] = SEGMENT_COL
         *segment_cols,
         *[F.col(a).alias(b) for a, b in names.items()],
         (F.col("p90_price") - F.col("p10_price")).alias("segment_price_spread"),
+        *more,
     )
 
 
+def quartiles(column: str = "price_per_bedroom") -> dict[str, tuple[str, float]]:
+    return {"q1": (column, 0.25), "q3": (column, 0.75)}
+
+
+def fences() -> dict[str, Column]:
+    """Interquartile range and the fences 1.5 such ranges out, from columns ``q1`` and ``q3``."""
+    spread = F.col("q3") - F.col("q1")
+    reach = F.lit(1.5) * spread
+    return {"iqr": spread, "lower_bound": F.col("q1") - reach, "upper_bound": F.col("q3") + reach}
+
+
 def iqr_bounds(df: DataFrame, column: str = "price_per_bedroom", segment_cols: list[str] = SEGMENT_COLS) -> DataFrame:
-    """Quartiles of ``column`` per segment and the fences 1.5 interquartile ranges out."""
-    q = aggregate_with_quantiles(df, segment_cols, [], {"q1": (column, 0.25), "q3": (column, 0.75)})
-    reach = F.lit(1.5) * (F.col("q3") - F.col("q1"))
-    return q.withColumns(
-        {"iqr": F.col("q3") - F.col("q1"), "lower_bound": F.col("q1") - reach, "upper_bound": F.col("q3") + reach}
-    )
+    """Quartiles of ``column`` per segment and the fences around them."""
+    return aggregate_with_quantiles(df, segment_cols, [], quartiles(column)).withColumns(fences())
+
+
+def inside_fences(column: str = "price_per_bedroom") -> Column:
+    """True within the fences, both included; false where that is unknown."""
+    return F.coalesce(F.col(column).between(F.col("lower_bound"), F.col("upper_bound")), F.lit(False))
 
 
 def with_outlier_flag(df: DataFrame, column: str = "price_per_bedroom", segment_cols: list[str] = SEGMENT_COLS) -> DataFrame:
-    """Add ``is_inlier``: inside the segment's fences, both included; false where that is unknown."""
+    """Add ``is_inlier``: whether the value lies inside its segment's fences."""
     bounds = iqr_bounds(df, column, segment_cols).select(*segment_cols, "lower_bound", "upper_bound")
-    inside = F.col(column).between(F.col("lower_bound"), F.col("upper_bound"))
-    return (
-        join_measured(df, bounds, segment_cols, "left")
-        .withColumn("is_inlier", F.coalesce(inside, F.lit(False)))
-        .drop("lower_bound", "upper_bound")
-    )
+    joined = join_measured(df, bounds, segment_cols, "left")
+    return joined.withColumn("is_inlier", inside_fences(column)).drop("lower_bound", "upper_bound")
 
 
 def remove_outliers(df: DataFrame, column: str = "price_per_bedroom", segment_cols: list[str] = SEGMENT_COLS) -> DataFrame:

@@ -31,13 +31,34 @@ def feature_dataset(
     return cleaning.drop_present(out, "room_type"), dataset
 
 
-def prepare_listings(raw: DataFrame, elasticity_rows: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """Clip, derive, drop outliers and add price elasticity.
+def prepare_listings(
+    raw: DataFrame,
+    elasticity_rows: DataFrame | None = None,
+    segment_cols: list[str] = SEGMENT_COLS,
+    categories: dict[str, dict[str, list[str]]] | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """Clip, derive, drop outliers and add price elasticity; gives listings and the segment dataset.
 
-    Without ``elasticity_rows`` elasticities are estimated from the prepared listings.
+    One aggregation yields the dataset, the segment statistics and the outlier fences, and one
+    join brings the latter two to the listings. Without ``elasticity_rows`` elasticities are
+    estimated from the prepared listings.
     """
-    listed, dataset = feature_dataset(cleaning.clip_listings(raw))
-    kept = segments.remove_outliers(listed)
+    listed = segments.listing_features(cleaning.clip_listings(raw))
+    known = materialise(segments.segment_dataset(listed, segment_cols, segments.quartiles()).withColumns(segments.fences()))
+    fitted = encoding.fit_categories(listed, CATEGORIES) if categories is None else categories
+    stats = segments.stats_from_dataset(known, segment_cols, "lower_bound", "upper_bound")
+    joined = segments.competition_features(encoding.apply_one_hot(listed, fitted), segment_cols, stats)
+    kept = joined.where(segments.inside_fences()).drop("lower_bound", "upper_bound", "room_type")
     if elasticity_rows is None:
         elasticity_rows = elasticity.elasticity_rows(elasticity.breakpoint_fit(elasticity.price_bins(kept)))
-    return elasticity.impute_slope(elasticity.with_elasticity(kept, elasticity_rows)), dataset
+    out = elasticity.impute_slope(elasticity.with_elasticity(kept, elasticity_rows))
+    return out, known.drop("q1", "q3", "iqr", "lower_bound", "upper_bound")
+
+
+# Columns the stored training table leaves out.
+NOT_STORED = ["capacity_bin", "season", "weekend", "city", "room_shared", "room_private", "log_bookings"]
+
+
+def training_table(prepared: DataFrame) -> DataFrame:
+    """Prepared listings without the columns that one-hot columns replace."""
+    return cleaning.drop_present(prepared, *NOT_STORED)
