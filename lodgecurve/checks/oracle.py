@@ -69,13 +69,14 @@ rested AS (SELECT *, {rest} FROM summed),
 errors AS (SELECT *, CASE WHEN k >= 3 AND tn - k >= 3 THEN {_error("l")} + {_error("r")} END AS e2, {_error("t")} AS e1
            FROM rested),
 best AS (SELECT city, season, weekend, max(tn) AS nb, max(e1) AS e1, min(e2) AS e2, arg_min(k, e2) AS split,
-           arg_min((x + next_x) / 2e0, e2) AS bp FROM errors WHERE e2 IS NOT NULL GROUP BY city, season, weekend),
-choice AS (SELECT *, {two} AS two FROM best),
+           arg_min((x + next_x) / 2e0, e2) AS bp FROM errors GROUP BY city, season, weekend),
+choice AS (SELECT *, coalesce(e2 IS NOT NULL AND {two}, false) AS two FROM best),
 labelled AS (SELECT s.*, CASE WHEN NOT two THEN 0 WHEN k <= split THEN 1 ELSE 2 END AS side,
                CASE WHEN two THEN bp END AS bp
              FROM summed s JOIN choice USING (city, season, weekend)),
-fit AS (SELECT city, season, weekend, side, regr_slope(y, x) AS slope, regr_intercept(y, x) AS intercept,
-          regr_r2(y, x) AS r_squared, count(*) AS n_bins, max(bp) AS breakpoint_log_price,
+fit AS (SELECT city, season, weekend, side, CASE WHEN var_pop(x) > 0 THEN regr_slope(y, x) END AS slope,
+          CASE WHEN var_pop(x) > 0 THEN regr_intercept(y, x) END AS intercept,
+          CASE WHEN var_pop(x) > 0 THEN regr_r2(y, x) END AS r_squared, count(*) AS n_bins, max(bp) AS breakpoint_log_price,
           CASE side WHEN 0 THEN 'all' WHEN 1 THEN 'low' ELSE 'high' END AS price_regime
         FROM labelled GROUP BY city, season, weekend, side)
 """
@@ -112,7 +113,8 @@ curve AS (SELECT city, season, weekend, cast(g AS INT) AS grid_index, p AS price
             season || '_season_' || CASE weekend WHEN 1 THEN 'weekend' ELSE 'weekday' END AS segment_name,
             cast((CASE season WHEN 'high' THEN 0 WHEN 'shoulder' THEN 2 ELSE 4 END + weekend) * {points} + g AS BIGINT)
               AS candidate_id,
-            least(greatest(raw, 0e0), 1e0) AS occ, p * least(greatest(raw, 0e0), 1e0) AS daily FROM moved)
+            CASE WHEN raw < 0 THEN 0e0 WHEN raw > 1 THEN 1e0 ELSE raw END AS occ,
+            p * CASE WHEN raw < 0 THEN 0e0 WHEN raw > 1 THEN 1e0 ELSE raw END AS daily FROM moved)
 """
 
 
@@ -333,8 +335,9 @@ ORACLE = {
       FROM features JOIN stats USING (city, season, weekend)""",
     "price_bins": BINNED + f"SELECT {SEG}, bin, n, {r('x y')} FROM bins",
     "segment_ols": BINNED
-    + f"""SELECT {SEG}, count(*) AS n_bins, round(regr_slope(y, x), 6) AS slope, round(regr_intercept(y, x), 6) AS intercept,
-      round(regr_r2(y, x), 6) AS r_squared FROM bins GROUP BY {SEG}""",
+    + f"""SELECT {SEG}, count(*) AS n_bins, round(CASE WHEN var_pop(x) > 0 THEN regr_slope(y, x) END, 6) AS slope,
+      round(CASE WHEN var_pop(x) > 0 THEN regr_intercept(y, x) END, 6) AS intercept,
+      round(CASE WHEN var_pop(x) > 0 THEN regr_r2(y, x) END, 6) AS r_squared FROM bins GROUP BY {SEG}""",
     "breakpoint_search": FITTED
     + f"""SELECT {SEG}, greatest(side, 1) AS regime, price_regime, n_bins,
       {r('slope intercept r_squared breakpoint_log_price')} FROM fit""",
@@ -346,7 +349,7 @@ ORACLE = {
       CASE side WHEN 1 THEN 'lower' ELSE 'upper' END AS price_range FROM fit""",
     "elasticity_flatten": FITTED
     + f"""SELECT {SEG}, price_regime, round(slope, 6) AS elasticity_slope,
-      round(breakpoint_log_price, 6) AS breakpoint_log_price FROM fit""",
+      round(breakpoint_log_price, 6) AS breakpoint_log_price FROM fit WHERE slope IS NOT NULL""",
     "regime_lookup": LOOKED_UP
     + """SELECT listing_key, city, season, weekend,
       round(coalesce(slope_all, CASE WHEN log_price < bp THEN slope_low ELSE slope_high END), 6) AS elasticity_slope
@@ -404,11 +407,11 @@ ORACLE = {
       FROM (SELECT c.city, count(p.city) AS n FROM (SELECT DISTINCT city FROM curve) c LEFT JOIN pick p ON c.city = p.city
         GROUP BY c.city)""",
     "lift_report": SOLVED
-    + f"""SELECT {SEG}, segment_name, round((price - p0) / p0 * 1e2, 5) AS price_change_pct,
-      round((occ - o0) / o0 * 1e2, 5) AS occupancy_change_pct,
-      round((annual - base_annual) / base_annual * 1e2, 5) AS revenue_lift_pct,
+    + f"""SELECT {SEG}, segment_name, round((price - p0) / p0 * 1e2, 5) + 0e0 AS price_change_pct,
+      round((occ - o0) / o0 * 1e2, 5) + 0e0 AS occupancy_change_pct,
+      round((annual - base_annual) / base_annual * 1e2, 5) + 0e0 AS revenue_lift_pct,
       round(base_annual, 4) AS baseline_annual_revenue, round(annual, 4) AS annual_revenue,
-      round(annual - base_annual, 4) AS revenue_lift FROM solved""",
+      round(annual - base_annual, 4) + 0e0 AS revenue_lift FROM solved""",
     "portfolio_kpis": SOLVED
     + """SELECT city, round(sum(base_annual), 4) AS baseline_annual_revenue, round(sum(annual), 4) AS annual_revenue,
       round(sum(annual - base_annual), 4) AS revenue_lift,
@@ -465,7 +468,7 @@ ORACLE = {
       weekend, multi, biz, days_booked, season FROM listings""",
     "elasticity_files": FITTED
     + f"""SELECT {SEG}, price_regime, round(slope, 6) AS elasticity_slope,
-      round(breakpoint_log_price, 6) AS breakpoint_log_price FROM fit""",
+      round(breakpoint_log_price, 6) AS breakpoint_log_price FROM fit WHERE slope IS NOT NULL""",
     "segment_frame": """SELECT lower(n_name) AS city, season, weekend,
       season || '_season_' || CASE weekend WHEN 1 THEN 'weekend' ELSE 'weekday' END AS segment_name
       FROM (SELECT DISTINCT n_name FROM lineitem JOIN orders ON l_orderkey = o_orderkey

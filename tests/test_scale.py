@@ -119,3 +119,10 @@ def test_outliers_drop_unknown_values(spark):
     df = spark.createDataFrame(rows, "city string, season string, weekend int, price_per_bedroom double")
     kept = sorted(r["price_per_bedroom"] for r in segments.remove_outliers(df).collect())
     assert kept == [10.0, 11.0, 12.0, 13.0, 14.0]
+
+
+def test_approximate_quantiles_stay_close(spark, skewed):
+    exact = scale.aggregate_with_quantiles(skewed, ["k"], [], {"m": ("w", 0.5)})
+    rough = scale.aggregate_with_quantiles(skewed, ["k"], [], {"m": ("w", 0.5)}, approx=True)
+    a, b = ({r["k"]: r["m"] for r in df.collect()} for df in (exact, rough))
+    assert a == pytest.approx(b, abs=0.02)
