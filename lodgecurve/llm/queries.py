@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from lodgecurve.llm import warc
+from lodgecurve.llm.packing import op10_packing
 from lodgecurve.llm.simhash import op4_simhash
 from lodgecurve.llm.substring_dedup import op8_substring_dedup
 from lodgecurve.llm.suffix_dedup import op6_suffix_dedup
+from lodgecurve.llm.toxicity import op5_toxicity
+from lodgecurve.llm.warc import op9_warc
 
-QUERIES = {f.__name__: f for f in (op4_simhash, op6_suffix_dedup, op8_substring_dedup)}
-ORACLE: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op4_simhash, op5_toxicity, op6_suffix_dedup, op8_substring_dedup, op9_warc, op10_packing)}
+ORACLE: dict[str, str] = {"op9_warc": warc.ORACLE}
