@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from lodgecurve.llm import urls, warc
+from lodgecurve.llm.mixing import op2_mixing
 from lodgecurve.llm.multi_index import op1_multi_index
 from lodgecurve.llm.packing import op10_packing
 from lodgecurve.llm.quality import op7_quality
@@ -16,7 +17,8 @@ from lodgecurve.llm.warc import op9_warc
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_multi_index, op3_urls, op4_simhash, op5_toxicity, op6_suffix_dedup, op7_quality, op8_substring_dedup, op9_warc, op10_packing,
+        op1_multi_index, op2_mixing, op3_urls, op4_simhash, op5_toxicity, op6_suffix_dedup, op7_quality, op8_substring_dedup, op9_warc,
+        op10_packing,
     )
 }
 ORACLE: dict[str, str] = {"op3_urls": urls.ORACLE, "op9_warc": warc.ORACLE}

@@ -27,11 +27,18 @@ from pyspark.sql import functions as F
 
 from lodgecurve.llm.common import column, longs, many, rows_of, signed, texts, with_rows
 from lodgecurve.llm.components import components
+from lodgecurve.llm.windows import gram_hashes, mixed
 from lodgecurve.operators.scale import materialise
 
 BITS = 64
 BUCKET = 4096
 SEED = 42
+SIMILARITY = 0.72
+JUDGE_LANES = 4
+MEET_LANES = 9
+MEET_BLOCKS = 28
+MEET_WIDTH = 20
+ODD = np.arange(1, 2 * MEET_BLOCKS, 2, dtype=np.int64)
 
 
 def fingerprint(text: bytes, words: int) -> int:
@@ -87,68 +94,88 @@ def links(fps: DataFrame, distance: int = 3, blocks: int = 5, bucket: int = BUCK
         F.struct(F.lit(i).alias("mask"), F.col("fp").bitwiseAND(F.lit(int(np.uint64(m).astype(np.int64)))).alias("part"))
         for i, m in enumerate(block_masks(distance, blocks))
     ])
-    keyed = fps.select("fp", F.explode(keys).alias("k")).select("fp", "k.mask", "k.part")
+    return bucket_links(fps.select("fp", F.explode(keys).alias("k")).select("fp", "k.mask", "k.part"), None, distance, bucket)
+
+
+def bucket_links(keyed: DataFrame, bits: DataFrame | None, distance: int, bucket: int) -> DataFrame:
+    """Edges ``a, b`` that connect what is within ``distance`` among the rows ``fp`` of each bucket ``mask, part``.
+
+    The distance is that of ``fp`` itself, or of the binary column of ``bits`` (``fp, bits``).
+    """
     shared = keyed.groupBy("mask", "part").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
     parts = F.ceil(F.col("n") / F.lit(bucket)).cast("int")
     own = F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")
     # a part meets every part, itself included: the pair (i, j) of parts with i <= j is one group
     pairs = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda j: F.struct(F.least(j, F.col("own")).alias("i"), F.greatest(j, F.col("own")).alias("j")))
     rows = keyed.join(shared, ["mask", "part"]).withColumn("parts", parts).withColumn("own", own)
-    rows = rows.select("mask", "part", "fp", F.explode(pairs).alias("p")).select("mask", "part", "p.i", "p.j", "fp")
+    if bits is not None:
+        rows = rows.join(bits, "fp")
     group = ["mask", "part", "i", "j"]
-    dealt = rows.repartition(many(fps), *group).sortWithinPartitions(*group, "fp")
+    rest = ["fp"] if bits is None else ["fp", "bits"]
+    rows = rows.select("mask", "part", F.explode(pairs).alias("p"), *rest).select("mask", "part", "p.i", "p.j", *rest)
+    dealt = rows.repartition(many(keyed), *group).sortWithinPartitions(*group, "fp")
+
+    given = bits is not None
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
+        held: tuple[np.ndarray, np.ndarray] | None = None
         for batch in batches:
             if not batch.num_rows:
                 continue
             table = np.stack([column(batch, c).to_numpy(zero_copy_only=False).astype(np.int64) for c in (*group, "fp")])
-            table = np.concatenate([*held, table], axis=1) if held else table
+            values = table[4].view(np.uint64)[:, None]
+            if given:
+                values = np.frombuffer(b"".join(column(batch, "bits").to_pylist()), dtype=np.uint64).reshape(batch.num_rows, -1)
+            if held is not None:
+                table, values = np.concatenate([held[0], table], axis=1), np.concatenate([held[1], values])
             cut = np.flatnonzero((table[:4, 1:] != table[:4, :-1]).any(axis=0)) + 1
             last = cut[-1] if len(cut) else 0
-            held = [table[:, last:]]  # the last group may go on; it has 2 * bucket rows or so at most
-            yield from emitted(table[4, :last], cut[:-1], distance)
-        if held:
-            yield from emitted(held[0][4], np.zeros(0, dtype=np.int64), distance)
+            held = table[:, last:], values[last:]  # the last group may go on; it has 2 * bucket rows or so at most
+            yield from emitted(table[4, :last], values[:last], cut[:-1], distance)
+        if held is not None:
+            yield from emitted(held[0][4], held[1], np.zeros(0, dtype=np.int64), distance)
 
     return dealt.mapInArrow(work, "a long, b long")
 
 
-def emitted(fps: np.ndarray, cut: np.ndarray, distance: int) -> Iterator[pa.RecordBatch]:
-    """Linking edges of the groups of ``fps`` that start at 0 and at each of ``cut``."""
+def near(one: np.ndarray, other: np.ndarray, distance: int) -> np.ndarray:
+    """Whether rows of bits differ in at most ``distance``."""
+    return np.bitwise_count(one ^ other).sum(axis=-1, dtype=np.int64) <= distance
+
+
+def emitted(fps: np.ndarray, values: np.ndarray, cut: np.ndarray, distance: int) -> Iterator[pa.RecordBatch]:
+    """Linking edges of the groups of ``fps`` that start at 0 and at each of ``cut``; ``values`` are their bits."""
     if not len(fps):
         return
     starts = np.concatenate([[0], cut, [len(fps)]]).astype(np.int64)
     sizes = np.diff(starts)
-    values = fps.view(np.uint64)
     found: list[tuple[np.ndarray, np.ndarray]] = []
     short = 8
     group = np.repeat(np.arange(len(sizes)), sizes)
     few = np.repeat(sizes <= short, sizes)
     for step in range(1, short):  # short groups all at once, by the distance of their rows
-        if len(values) <= step:
-            break
-        near = few[step:] & (group[step:] == group[:-step]) & (np.bitwise_count(values[step:] ^ values[:-step]) <= distance)
-        found.append((fps[:-step][near], fps[step:][near]))
+        at = np.flatnonzero(few[step:] & (group[step:] == group[:-step])) if len(fps) > step else np.zeros(0, dtype=np.int64)
+        at = at[near(values[at], values[at + step], distance)]
+        found.append((fps[at], fps[at + step]))
     for g in np.flatnonzero(sizes > short):
-        found.append(forest(fps[starts[g] : starts[g + 1]], distance))
-    a, b = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, dtype=np.int64),) * 2
+        here = slice(starts[g], starts[g + 1])
+        found.append(forest(fps[here], values[here], distance))
+    a, b = (np.concatenate(x) for x in zip(*found))
     other = a != b
     yield pa.RecordBatch.from_arrays([longs(a[other]), longs(b[other])], ["a", "b"])
 
 
-def forest(fps: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
+def forest(fps: np.ndarray, values: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
     """Edges of a spanning forest of the links within one group, fewer than its rows."""
-    values, rest = fps.view(np.uint64), np.arange(len(fps))
+    rest = np.arange(len(fps))
     a, b, queue = [], [], []
     while len(rest):
         if not queue:
             queue, rest = [rest[0]], rest[1:]
         x = queue.pop()
-        near = np.bitwise_count(values[rest] ^ values[x]) <= distance
-        if near.any():
-            got, rest = rest[near], rest[~near]
+        close = near(values[rest], values[x], distance)
+        if close.any():
+            got, rest = rest[close], rest[~close]
             a.append(np.full(len(got), fps[x]))
             b.append(fps[got])
             queue.extend(got.tolist())
@@ -173,12 +200,81 @@ def near_duplicates(
     return rows.join(classes, "fp", "left").select("uid", "id", "fp", "root", "component")
 
 
-def kept_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 3, distance: int = 3, blocks: int = 5) -> DataFrame:
-    """The rows of ``docs`` that represent their group: one for each, that with the smallest id.
+class Wide:
+    """Two long fingerprints of a text: of its distinct words, to meet by, and of its shingles, to judge by."""
+
+    def __init__(self, words: int) -> None:
+        self.words, self.known = words, {}
+
+    @staticmethod
+    def bits(hashes: np.ndarray, lanes: int) -> np.ndarray:
+        """Majority of the bits of ``lanes`` hashes derived from each hash, 64 bits a lane."""
+        counts = np.zeros(64 * lanes, dtype=np.int64)
+        salts = mixed(np.arange(1, lanes + 1, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407))
+        for at in range(0, len(hashes), 1 << 13):
+            part = mixed(hashes[at : at + (1 << 13), None] ^ salts)
+            counts += np.unpackbits(part.view(np.uint8), axis=1, bitorder="little").sum(axis=0, dtype=np.uint32)
+        return np.packbits(counts * 2 > len(hashes), bitorder="little")
+
+    def __call__(self, text: bytes) -> tuple[np.ndarray, bytes]:
+        """Block keys of the word fingerprint; the shingle fingerprint."""
+        tokens, known = text.lower().split(), self.known
+        if len(known) > 400_000:
+            known.clear()
+        for w in set(tokens).difference(known):
+            known[w] = xxhash.xxh3_64_intdigest(w)
+        hashes = np.fromiter(map(known.__getitem__, tokens), dtype=np.uint64, count=len(tokens))
+        shingles = np.unique(gram_hashes(hashes, max(1, min(self.words, len(hashes)))))
+        meet = np.unpackbits(self.bits(np.unique(hashes), MEET_LANES), bitorder="little")[: MEET_BLOCKS * MEET_WIDTH]
+        blocks = meet.reshape(MEET_BLOCKS, MEET_WIDTH).astype(np.int64) @ (1 << np.arange(MEET_WIDTH, dtype=np.int64))
+        return blocks, self.bits(shingles, JUDGE_LANES).tobytes()
+
+
+def bits_apart(similarity: float, bits: int = 64) -> int:
+    """Bits by which fingerprints of sets of this Jaccard similarity differ on average."""
+    return int(round(bits * np.arccos(2 * similarity / (1 + similarity)) / np.pi))
+
+
+def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, similarity: float = SIMILARITY) -> DataFrame:
+    """``uid, id, fp, root``: near-duplicate groups of whole documents by SimHash.
+
+    Documents link if the 256-bit SimHash of their distinct ``words``-word shingles differs in no
+    more bits than sets of Jaccard ``similarity`` do on average. The number of bits varies by six or
+    so, which is why the default lies below 0.8: of pairs at 0.8 it takes 19 in 20. That many bits are too many for blocks, so
+    documents meet by another fingerprint that changes less: ``MEET_BLOCKS`` blocks of
+    ``MEET_WIDTH`` bits of the SimHash of their distinct words. Documents that differ in fewer of
+    its bits than there are blocks surely meet; at a twelfth of the bits, which is what a
+    similarity of 0.8 comes to, 99 in 100 do.
+    """
+    schema = "uid long, id long, fp long, bits binary, blocks array<long>"
 
-    Of repeated rows with that id, one stays.
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wide = Wide(words)
+        for batch in batches:
+            made = [wide(t) for (t,) in rows_of([batch], "body")]
+            fps = [xxhash.xxh3_64_intdigest(b, int(m @ ODD) & 0xFFFFFFFF) for m, b in made]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    column(batch, "uid"), column(batch, "id"), longs(signed(np.array(fps, dtype=np.uint64))),
+                    pa.array([b for _, b in made], pa.binary()), pa.array([m.tolist() for m, _ in made], pa.list_(pa.int64())),
+                ],
+                ["uid", "id", "fp", "bits", "blocks"],
+            )
+
+    rows = materialise(texts(docs, key, text).select("uid", "id", F.col("body").cast("binary").alias("body")).mapInArrow(work, schema))
+    distinct = materialise(rows.groupBy("fp").agg(F.first("bits").alias("bits"), F.first("blocks").alias("blocks")))
+    keyed = distinct.select("fp", F.posexplode("blocks").alias("mask", "part"))
+    roots = components(bucket_links(keyed, distinct.select("fp", "bits"), bits_apart(similarity, 64 * JUDGE_LANES), BUCKET))
+    return rows.select("uid", "id", "fp").join(roots, F.col("fp") == F.col("node"), "left").select("uid", "id", "fp", F.coalesce("root", "fp").alias("root"))
+
+
+def kept_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, similarity: float = SIMILARITY) -> DataFrame:
+    """The rows of ``docs`` that represent their group (see ``similar_groups``): one for each, that with the smallest id.
+
+    Null ids come last; of repeated rows with that id, one stays. Texts without a word are copies
+    of each other, so one of them stays.
     """
-    found = near_duplicates(docs, key, text, words, distance, blocks)
+    found = similar_groups(docs, key, text, words, similarity)
     first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "uid"))
     chosen = found.groupBy("root").agg(first.alias("f")).select("f.uid")
     rows = with_rows(docs, key, text).select("uid", "row")

@@ -101,10 +101,11 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     return judged(texts(docs, key, text), length, work, schema)
 
 
-def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
+def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, chars: str | None = None) -> DataFrame:
     """``docs`` with repeated passages cut from the text column, all rows and columns kept.
 
     Bytes of a character that is only partly repeated go with it, so the rest stays valid UTF-8.
+    ``chars`` names a column that holds the text's length, to be counted anew.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -116,8 +117,9 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", le
     rows = with_rows(docs, key, text)
     schema = rows.select("row").schema.add("kept", "string")
     cut = judged(rows, length, work, schema)
-    columns = [F.when(F.col(f"row.{quoted(c)}").isNotNull(), F.col("kept")).alias(c) if c == text else F.col(f"row.{quoted(c)}").alias(c) for c in docs.columns]
-    return cut.select(*columns)
+    now = {text: F.col("kept")} | ({chars: F.length("kept").cast(docs.schema[chars].dataType)} if chars in docs.columns else {})
+    was = lambda c: F.col(f"row.{quoted(c)}")
+    return cut.select(*[F.when(was(text).isNotNull(), now[c]).otherwise(was(c)).alias(c) if c in now else was(c).alias(c) for c in docs.columns])
 
 
 def op6_suffix_dedup(spark, sf_dir: str) -> DataFrame:
