@@ -1,12 +1,12 @@
 """Packing of documents into training sequences, neighbours in content side by side.
 
-Every document gets a vector of hashed word counts, a fixed random projection of it to a few
+Every document gets a vector of hashed counts of byte runs, a fixed random projection of it to a few
 dimensions, and the place of that point on a Hilbert curve. Documents are range-sorted by that key
 and their tokens follow each other along the curve, cut wherever a sequence is full, so a sequence
 holds documents that are near each other and no token is lost or padded within the curve.
 
-The curve is dealt to tasks in stretches of about ``stretch`` words, whose borders come from exact
-word counts over ranges of the key in a pass before; copies share a point, so the key ends in bits of the
+The curve is dealt to tasks in stretches of about ``stretch`` bytes, whose borders come from exact
+sums over ranges of the key in a pass before; copies share a point, so the key ends in bits of the
 document's hash, which lets a border fall between copies. Each task packs its stretch on its own.
 What is left at its end is cut into sequences of powers of two, which need no padding, so the
 price of working in parallel is a few short sequences for each task.
@@ -20,7 +20,6 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,34 +30,26 @@ LENGTH = 4096
 END = 2
 TOKENIZER = "word_bpe_49k.json"
 HASHED = 256
+SLOT_BITS = 9  # slots of both signs: 2 * HASHED
 DIMENSIONS = 4
 CURVE_BITS = 10
 TIE_BITS = 22
-STRETCH = 400_000
-REMEMBERED = 300_000
+STRETCH = 2_500_000
+REMEMBERED = 1_000_000
 
 
 @lru_cache(maxsize=1)
 def projection() -> np.ndarray:
-    """A fixed projection of hashed word counts; its columns have unit length on average."""
+    """A fixed projection of hashed counts; its columns have unit length on average."""
     return np.random.default_rng(20).standard_normal((HASHED, DIMENSIONS)) / np.sqrt(HASHED)
 
 
-class Slots:
-    """Signed hash slots of words: ``slot * 2 + sign``."""
-
-    def __init__(self) -> None:
-        self.known: dict[bytes, int] = {}
-
-    def vector(self, body: bytes) -> tuple[np.ndarray, int]:
-        words, known = body.split(), self.known
-        if len(known) > REMEMBERED:
-            known.clear()
-        for w in set(words).difference(known):
-            known[w] = xxhash.xxh3_64_intdigest(w) % (2 * HASHED)
-        at = np.fromiter(map(known.__getitem__, words), dtype=np.int64, count=len(words))
-        counts = np.bincount(at, minlength=2 * HASHED)
-        return (counts[0::2] - counts[1::2]).astype(np.float64), len(words)
+def vector(body: bytes) -> np.ndarray:
+    """Signed counts of hashed runs of three bytes."""
+    b = np.frombuffer(body, dtype=np.uint8).astype(np.uint32)
+    runs = b[:-2] * np.uint32(0x9E3779B1) ^ b[1:-1] * np.uint32(0x85EBCA77) ^ b[2:] * np.uint32(0xC2B2AE3D) if len(b) > 2 else b[:0]
+    counts = np.bincount(runs * np.uint32(0x27D4EB2F) >> np.uint32(32 - SLOT_BITS), minlength=2 * HASHED)
+    return (counts[0::2] - counts[1::2]).astype(np.float64)
 
 
 def points(vectors: np.ndarray) -> np.ndarray:
@@ -97,20 +88,80 @@ def hilbert(cells: np.ndarray, bits: int = CURVE_BITS) -> np.ndarray:
     return out
 
 
-def curve_keys(bodies: list[bytes], uids: list[int], slots: Slots) -> tuple[np.ndarray, np.ndarray]:
-    """Sort key and number of words of each text: curve position, then bits of the uid."""
+def curve_keys(bodies: list[bytes], uids: list[int]) -> np.ndarray:
+    """Sort key of each text: curve position, then bits of the uid."""
     if not bodies:
-        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-    vectors, words = zip(*[slots.vector(b) for b in bodies])
+        return np.zeros(0, dtype=np.int64)
     tie = np.array(uids, dtype=np.int64) & ((1 << TIE_BITS) - 1)
-    return (hilbert(points(np.stack(vectors))) << TIE_BITS) | tie, np.array(words, dtype=np.int64)
+    return (hilbert(points(np.stack([vector(b) for b in bodies]))) << TIE_BITS) | tie
+
+
+class Pieces:
+    """Texts as the pieces that a vocabulary file splits them into, found for many texts at once.
+
+    Takes UTF-8 texts of ASCII and Latin-1 letters without apostrophes and special tokens. There a
+    piece is a run of letters, a single digit, or a run of anything else but white space; letters
+    are lower-cased. A piece is known by a 64-bit hash of its bytes.
+    """
+
+    BATCH = 1 << 20
+
+    def __init__(self) -> None:
+        kind = np.full(256, 3, dtype=np.uint8)
+        kind[[9, 10, 11, 12, 13, 32]] = 0
+        kind[ord("0") : ord("9") + 1] = 2
+        kind[ord("A") : ord("Z") + 1] = kind[ord("a") : ord("z") + 1] = kind[128:] = 1
+        self.kind = kind
+        self.code = np.random.default_rng(8).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+        base = 0x9E3779B97F4A7C15
+        self.power = self.inverse = np.ones(1, dtype=np.uint64)
+        self.base, self.back = np.uint64(base), np.uint64(pow(base, -1, 1 << 64))
+
+    def grow(self, n: int) -> None:
+        if len(self.power) <= n:
+            size = max(n + 1, self.BATCH)
+            for name, base in (("power", self.base), ("inverse", self.back)):
+                steps = np.full(size, base)
+                steps[0] = 1
+                setattr(self, name, np.multiply.accumulate(steps))
+
+    @staticmethod
+    def fits(body: bytes) -> bool:
+        if b"'" in body or b"<|" in body:
+            return False
+        if body.isascii():
+            return True
+        b = np.frombuffer(body, dtype=np.uint8)
+        high = b >= 128
+        lead = b == 0xC3
+        return bool((high.sum() == 2 * lead.sum()) and not (lead[:-1] & ((b[1:] == 0x97) | (b[1:] == 0xB7))).any())
+
+    def split(self, bodies: list[bytes]) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The texts' lower-cased bytes; each piece's start, end and hash; the pieces of each text."""
+        b = np.frombuffer(b"\n".join([*bodies, b""]), dtype=np.uint8).copy()
+        upper = (b >= 65) & (b <= 90)
+        upper[1:] |= (b[:-1] == 0xC3) & (b[1:] <= 0x9E)
+        b[upper] += 32
+        kind = self.kind[b]
+        change = np.concatenate([[True], (kind[1:] != kind[:-1]) | (kind[1:] == 2)]) if len(b) else np.zeros(0, dtype=bool)
+        edges = np.append(np.flatnonzero(change), len(b))
+        starts, ends = edges[:-1], edges[1:]
+        real = kind[starts] != 0 if len(starts) else np.zeros(0, dtype=bool)
+        starts, ends = starts[real], ends[real]
+        self.grow(len(b))
+        sums = np.concatenate([np.zeros(1, dtype=np.uint64), np.add.accumulate(self.code[b] * self.power[: len(b)])])
+        hashes = (sums[ends] - sums[starts]) * self.inverse[starts] ^ (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+        until = np.cumsum([len(x) + 1 for x in bodies])
+        return b.tobytes(), starts, ends, hashes, np.diff(np.searchsorted(starts, until), prepend=0)
 
 
 class Encoder:
-    """Token ids of texts by a vocabulary file, with the ids of words remembered.
+    """Token ids of texts by a vocabulary file, with the ids of pieces remembered.
 
-    White space never becomes part of a token of this vocabulary, so the ids of a text are those
-    of its words in turn.
+    White space never becomes part of a token of this vocabulary and merges stay within pieces, so
+    the ids of a text are those of its pieces in turn. New pieces are encoded together, as one text
+    with spaces between; a piece ends with a token that is marked as a word's end, which tells
+    their ids apart. Texts that ``Pieces`` doesn't take are encoded as they are.
     """
 
     def __init__(self, path: str) -> None:
@@ -119,32 +170,88 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.known: dict[str, bytes] = {}
-
-    def __call__(self, text: str) -> bytes:
-        """Little-endian unsigned 32-bit ids, the end id last."""
-        words, known = text.replace("\n", " ").split(" "), self.known
-        if len(known) > REMEMBERED:
-            known.clear()
-        new = list(set(words).difference(known))
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.pieces = Pieces()
+        self.clear()
+
+    def clear(self) -> None:
+        self.known: dict[int, int] = {}
+        self.flat, self.first, self.size = np.zeros(0, dtype="<u4"), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+
+    def __call__(self, texts: list[bytes]) -> list[bytes]:
+        """Little-endian unsigned 32-bit ids of each UTF-8 text, the end id last."""
+        end = np.array([END], dtype="<u4").tobytes()
+        out: list[bytes] = [b""] * len(texts)
+        held, size = [], 0
+        for i, t in enumerate(texts):
+            if not self.pieces.fits(t):
+                out[i] = self.plain(t) + end
+                continue
+            held.append(i)
+            size += len(t)
+            if size > Pieces.BATCH:
+                self.fill(out, held, texts, end)
+                held, size = [], 0
+        self.fill(out, held, texts, end)
+        return out
+
+    def plain(self, text: bytes) -> bytes:
+        return np.array(self.tokenizer.encode(text.decode(), add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def fill(self, out: list[bytes], at: list[int], texts: list[bytes], end: bytes) -> None:
+        data, starts, ends, hashes, counts = self.pieces.split([texts[i] for i in at])
+        distinct, example, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+        if len(self.known) > REMEMBERED:
+            self.clear()
+        keys = distinct.tolist()
+        places = list(map(self.known.get, keys))
+        new = [i for i, p in enumerate(places) if p is None]
         if new:
-            for w, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-                known[w] = np.array(e.ids, dtype="<u4").tobytes()
-        return b"".join(map(known.__getitem__, words)) + np.array([END], dtype="<u4").tobytes()
-
-
-def keys_and_words(docs: DataFrame) -> DataFrame:
-    """``key, words`` of every document: its place on the curve and its length."""
+            spans = zip(starts[example[new]].tolist(), ends[example[new]].tolist())
+            for i, p in zip(new, range(*self.learn([data[a:b] for a, b in spans]))):
+                places[i] = self.known[keys[i]] = p
+        piece = np.array(places, dtype=np.int64)[inverse]
+        n = self.size[piece]
+        before = np.concatenate([[0], np.cumsum(n)])
+        ids = self.flat[np.arange(before[-1]) + np.repeat(self.first[piece] - before[:-1], n)].tobytes()
+        cuts = (4 * before[np.concatenate([[0], np.cumsum(counts)])]).tolist()
+        for i, a, b in zip(at, cuts, cuts[1:]):
+            out[i] = ids[a:b] + end
+
+    def learn(self, pieces: list[bytes]) -> tuple[int, int]:
+        """Remember the ids of new pieces; the range of their places."""
+        ids = np.array(self.tokenizer.encode_batch_fast([b" ".join(pieces).decode()], add_special_tokens=False)[0].ids, dtype="<u4")
+        stops = np.flatnonzero(self.ends[ids]) + 1
+        if len(stops) != len(pieces):
+            each = [self.plain(p) for p in pieces]
+            ids, stops = np.frombuffer(b"".join(each), dtype="<u4"), np.cumsum([len(e) // 4 for e in each])
+        first = np.concatenate([[0], stops[:-1]])
+        place = len(self.first)
+        self.first = np.concatenate([self.first, first + len(self.flat)])
+        self.size = np.concatenate([self.size, stops - first])
+        self.flat = np.concatenate([self.flat, ids])
+        return place, place + len(pieces)
+
+
+@lru_cache(maxsize=2)
+def encoder(path: str) -> Encoder:
+    """One for each Python process, so that what it remembers outlives a task."""
+    return Encoder(path)
+
+
+def keys_and_sizes(docs: DataFrame) -> DataFrame:
+    """``key, size`` of every document: its place on the curve and its length in bytes."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        slots = Slots()
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                keys, words = curve_keys(column(part, "body").to_pylist(), column(part, "uid").to_pylist(), slots)
-                yield pa.RecordBatch.from_arrays([longs(keys), longs(words)], ["key", "words"])
+                bodies = column(part, "body").to_pylist()
+                yield pa.RecordBatch.from_arrays([longs(curve_keys(bodies, column(part, "uid").to_pylist())), longs([len(b) + 1 for b in bodies])], ["key", "size"])
 
-    return docs.select("uid", F.col("body").cast("binary").alias("body")).mapInArrow(work, "key long, words long")
+    return docs.select("uid", F.col("body").cast("binary").alias("body")).mapInArrow(work, "key long, size long")
 
 
 def pack(
@@ -159,21 +266,21 @@ def pack(
     ``start``, ``length``, ``ids_crc32``, ``doc_tokens``, ``sequence_id``, ``offset``, ``ids``.
     """
     rows = texts(docs, key, text)
-    edges = np.array(balanced_borders(materialise(keys_and_words(rows)), "key", "words", stretch), dtype=np.int64)
+    edges = np.array(balanced_borders(materialise(keys_and_sizes(rows)), "key", "size", stretch), dtype=np.int64)
     shared = docs.sparkSession.sparkContext.broadcast(edges)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        slots, encoder = Slots(), Encoder(tokenizer)
+        encode_all = encoder(tokenizer)
         for batch in batches:
-            for at in range(0, batch.num_rows, 128):
-                part = batch.slice(at, 128)
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
                 bodies = column(part, "body").to_pylist()
-                keys, _ = curve_keys([b.encode() for b in bodies], column(part, "uid").to_pylist(), slots)
-                ids = pa.array([encoder(b) for b in bodies], pa.binary())
+                keys = curve_keys(bodies, column(part, "uid").to_pylist())
+                ids = pa.array(encode_all(bodies), pa.binary())
                 stretches = pa.array(np.searchsorted(shared.value, keys, side="right").astype(np.int32))
                 yield pa.RecordBatch.from_arrays([stretches, longs(keys), column(part, "id"), ids], ["stretch", "key", "id", "ids"])
 
-    keyed = rows.mapInArrow(encode, "stretch int, key long, id long, ids binary")
+    keyed = rows.withColumn("body", F.col("body").cast("binary")).mapInArrow(encode, "stretch int, key long, id long, ids binary")
     sorted_ = keyed.repartitionById(len(edges) + 1, F.col("stretch")).sortWithinPartitions("stretch", "key", "id")
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary"
     return sorted_.mapInArrow(lambda batches: packed_pieces(batches, length), schema)
