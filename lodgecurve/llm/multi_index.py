@@ -119,6 +119,8 @@ def walk(first: np.ndarray, second: np.ndarray, counts: np.ndarray, wanted: int)
 
 def walked_share(sample: np.ndarray, books: list[np.ndarray], half: int, k: int, recall: float) -> float:
     """Share of the vectors that a walk must pass to meet ``recall`` of the true neighbours, by the sample."""
+    if len(sample) < 2:
+        return 1.0
     at = nearest(sample[:, :half], books[0]), nearest(sample[:, half:], books[1])
     passed = []
     for i in range(0, len(sample), max(1, len(sample) // PROBES)):
@@ -128,7 +130,7 @@ def walked_share(sample: np.ndarray, books: list[np.ndarray], half: int, k: int,
         best = np.argsort(-true, kind="stable")[: min(k, len(sample) - 1)]
         order = np.sort(-guess)
         passed.append(np.searchsorted(order, -guess[best], side="right") / len(sample))
-    return float(np.quantile(np.concatenate(passed), recall)) if passed else 1.0
+    return float(np.quantile(np.concatenate(passed), recall))
 
 
 def matrix(values: pa.Array, width: int) -> np.ndarray:
