@@ -114,8 +114,3 @@ def annual_revenue(candidates: DataFrame, days: DataFrame | None = None) -> Data
     if days is not None:
         candidates = join_measured(candidates, days.select(*SEGMENT_COLS, "days_in_segment"), SEGMENT_COLS, "left")
     return candidates.withColumn("annual_revenue", F.col("daily_revenue") * F.col("days_in_segment"))
-
-
-def bounded_share(value: Column) -> Column:
-    """A predicted share, brought into [0, 1]."""
-    return clip(value, 0.0, 1.0)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lodgecurve.functions.response import slope_at
 from lodgecurve.functions.values import parse_segment_key, segment_key
-from lodgecurve.operators.scale import GROUP_ROWS, join_measured, largest_group, materialise, values_at_ranks
+from lodgecurve.operators.scale import join_measured, materialise, running_counts
 from lodgecurve.schemas import ELASTICITY_DOCUMENT_SCHEMA, SEGMENT_COLS
 
 BINS = 20
@@ -67,22 +67,20 @@ def price_bins(
     price: str = "listing_price",
     occupancy: str = "occupancy_rate",
     bins: int = BINS,
-    max_group_rows: int | None = None,
 ) -> DataFrame:
     """Equal-count price bins per segment with mean log price ``x`` and log mean occupancy ``y``.
 
     Listings of one price that straddle a bin edge are shared out by count, each standing for
     the mean occupancy at that price, so the result depends on no tie-break.
-
-    While the largest segment fits a task, a window ranks each segment's distinct prices.
-    Beyond, only the bin edges are ranked, and listings are summed per bin where they lie.
+    Listings of one price combine map-side before they are ranked.
     """
-    limit = GROUP_ROWS if max_group_rows is None else max_group_rows
     known = df.where(F.col(price).isNotNull() & F.col(occupancy).isNotNull()).select(
         *keys, F.col(price).cast("double").alias("price"), F.col(occupancy).cast("double").alias("occupancy")
     )
-    by_window = largest_group(known, keys) <= limit
-    parts = _ranked_prices(known, keys, bins) if by_window else _ranked_edges(known, keys, bins, limit)
+    groups = known.groupBy(*keys, "price").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.log1p("price")).alias("x"), F.sum("occupancy").alias("occupancy")
+    )
+    parts = _dealt(running_counts(groups, keys, "price", "n"), keys, bins)
     count = F.sum("n")
     return (
         parts.groupBy(*keys, "bin")
@@ -91,35 +89,6 @@ def price_bins(
     )
 
 
-def _sums() -> list[Column]:
-    return [F.count(F.lit(1)).alias("n"), F.sum(F.log1p("price")).alias("x"), F.sum("occupancy").alias("occupancy")]
-
-
-def _ranked_prices(known: DataFrame, keys: list[str], bins: int) -> DataFrame:
-    segment = Window.partitionBy(*keys)
-    groups = known.groupBy(*keys, "price").agg(*_sums()).withColumns(
-        {"below": F.sum("n").over(segment.orderBy("price")) - F.col("n"), "total": F.sum("n").over(segment)}
-    )
-    return _dealt(groups, keys, bins)
-
-
-def _ranked_edges(known: DataFrame, keys: list[str], bins: int, limit: int) -> DataFrame:
-    ranks = {str(k): (lambda n, k=k: _last_rank(n, F.lit(k), bins)) for k in range(1, bins)}
-    edges = materialise(values_at_ranks(known, keys, "price", ranks, limit))
-    per_segment = edges.groupBy(*keys).agg(F.collect_list("value").alias("edges"))
-    on_edge = F.array_contains("edges", F.col("price"))
-    between = F.size(F.filter("edges", lambda e: e < F.col("price"))) + 1
-    sums = (
-        join_measured(known, per_segment, keys, "inner", null_safe=True)
-        .groupBy(*keys, F.when(on_edge, F.col("price")).alias("edge"), F.when(~on_edge, between).alias("bin"))
-        .agg(*_sums())
-    )
-    sums = materialise(sums)
-    at_edge = edges.select(*keys, F.col("value").alias("edge"), "below", F.col("n").alias("total")).distinct()
-    tied = join_measured(sums.where(F.col("edge").isNotNull()).drop("bin"), at_edge, [*keys, "edge"], "inner", null_safe=True)
-    return sums.where(F.col("edge").isNull()).drop("edge").unionByName(_dealt(tied, keys, bins))
-
-
 def segment_ols(bins: DataFrame, keys: list[str] = SEGMENT_COLS) -> DataFrame:
     """One log-log line per segment."""
     return bins.groupBy(*keys).agg(

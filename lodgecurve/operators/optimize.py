@@ -47,20 +47,20 @@ def _market_optimum(pdf, seasons: list[str], premium: float, gap: float):
     import pandas as pd
 
     nothing = pdf.iloc[:0][["city", "season", "weekend", "grid_index"]]
+    absent = pd.DataFrame({"price": [np.nan], "annual_revenue": [0.0], "grid_index": [-1]})  # bound by no rule
     layers = []
     for season in seasons:
         day, end = (
             pdf[(pdf["season"] == season) & (pdf["weekend"] == w)].sort_values("price") for w in (0, 1)
         )
-        if day.empty or end.empty:
-            return nothing
+        day, end = (absent if part.empty else part for part in (day, end))
         value = day["annual_revenue"].to_numpy()[:, None] + end["annual_revenue"].to_numpy()[None, :]
         value[end["price"].to_numpy()[None, :] < premium * day["price"].to_numpy()[:, None]] = -np.inf
         reach = None
         if layers:
             lower_day, lower_end, lower_value, _ = layers[-1]
             reach = tuple(
-                np.searchsorted(gap * lower["price"].to_numpy(), mine["price"].to_numpy(), side="right") - 1
+                np.searchsorted(gap * lower["price"].fillna(-np.inf).to_numpy(), mine["price"].to_numpy(), side="right") - 1
                 for lower, mine in ((lower_day, day), (lower_end, end))
             )
             best = np.maximum.accumulate(np.maximum.accumulate(lower_value, axis=0), axis=1)
@@ -78,7 +78,7 @@ def _market_optimum(pdf, seasons: list[str], premium: float, gap: float):
         i, j = np.unravel_index(open_part.argmax(), open_part.shape)
         chosen += [(season, 0, day["grid_index"].iloc[i]), (season, 1, end["grid_index"].iloc[j])]
         limit = None if reach is None else (reach[0][i], reach[1][j])
-    out = pd.DataFrame(chosen, columns=["season", "weekend", "grid_index"])
+    out = pd.DataFrame([c for c in chosen if c[2] >= 0], columns=["season", "weekend", "grid_index"])
     out.insert(0, "city", pdf["city"].iloc[0])
     return out
 
@@ -87,38 +87,37 @@ def choose_prices(candidates: DataFrame, rules: PriceRules = PriceRules()) -> Da
     """The chosen ``grid_index`` of every segment of each solvable market.
 
     ``candidates`` needs the segment columns, ``grid_index``, ``price``,
-    ``predicted_occupancy`` and ``annual_revenue``. A market needs all six segments.
+    ``predicted_occupancy`` and ``annual_revenue``. Segments a market does not have bind nothing;
+    a market with a segment that has candidates but no allowed price is not solvable.
     """
-    allowed = candidates.where(
+    usable = (
         F.col("price").between(rules.min_price, rules.max_price)
         & (F.col("predicted_occupancy") >= rules.min_occupancy)
         & F.col("annual_revenue").isNotNull()
-    ).select(*SEGMENT_COLS, "grid_index", "price", "annual_revenue")
-
-    alone = allowed.groupBy(*SEGMENT_COLS).agg(
-        F.max(F.struct("annual_revenue", (-F.col("price")).alias("minus_price"), "grid_index", "price")).alias("best")
     )
+    allowed = candidates.where(usable).select(*SEGMENT_COLS, "grid_index", "price", "annual_revenue")
+
+    option = F.struct("annual_revenue", (-F.col("price")).alias("minus_price"), "grid_index", "price")
+    alone = candidates.groupBy(*SEGMENT_COLS).agg(F.max(F.when(usable, option)).alias("best"))
     slots = {(s, w): f"{s}_{w}" for s in SEASONS_ASCENDING for w in (0, 1)}
     pivoted = alone.groupBy("city").agg(
-        *[F.max(F.when((F.col("season") == s) & (F.col("weekend") == w), F.col("best"))).alias(n) for (s, w), n in slots.items()]
+        *[F.max(F.when((F.col("season") == s) & (F.col("weekend") == w), F.col("best"))).alias(n) for (s, w), n in slots.items()],
+        F.every(F.col("best").isNotNull()).alias("solvable"),
     )
     price = lambda s, w: F.col(f"{slots[s, w]}.price")
     coupled = F.lit(True)
     for s in SEASONS_ASCENDING:
-        coupled &= price(s, 1) >= rules.weekend_premium * price(s, 0)
+        coupled &= F.coalesce(price(s, 1) >= rules.weekend_premium * price(s, 0), F.lit(True))
     for lower, upper in zip(SEASONS_ASCENDING, SEASONS_ASCENDING[1:]):
         for w in (0, 1):
-            coupled &= price(upper, w) >= rules.season_gap * price(lower, w)
-    complete = F.lit(True)
-    for n in slots.values():
-        complete &= F.col(n).isNotNull()
-    markets = materialise(pivoted.where(complete).withColumn("coupled", coupled))
+            coupled &= F.coalesce(price(upper, w) >= rules.season_gap * price(lower, w), F.lit(True))
+    markets = materialise(pivoted.where("solvable").withColumn("coupled", coupled))
 
     picks = F.array(
         *[F.struct(F.lit(s).alias("season"), F.lit(w).alias("weekend"), F.col(f"{n}.grid_index").alias("grid_index"))
           for (s, w), n in slots.items()]
     )
-    chosen = markets.where("coupled").select("city", F.explode(picks).alias("p")).select("city", "p.*")
+    chosen = markets.where("coupled").select("city", F.explode(picks).alias("p")).select("city", "p.*").where(F.col("grid_index").isNotNull())
     rest = markets.where(~F.col("coupled")).select("city")
     if rest.isEmpty():
         return chosen
@@ -145,7 +144,7 @@ def optimal_prices(candidates: DataFrame, rules: PriceRules = PriceRules()) -> t
     """
     keys = [*SEGMENT_COLS, "grid_index"]
     rows = materialise(join_measured(candidates, choose_prices(candidates, rules), keys, "inner"))
-    market = Window.partitionBy("city")  # six rows
+    market = Window.partitionBy("city")  # six rows at most
     moved = F.sum(F.col("price") * F.col("days_in_segment")).over(market)
     base = F.sum(F.col("baseline_price") * F.col("days_in_segment")).over(market)
     slack = F.lit(1e-9)  # sums of the same terms in another order may differ in the last digits

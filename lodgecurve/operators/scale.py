@@ -1,25 +1,26 @@
 """Building blocks that keep jobs whole when one key holds a large part of the rows.
 
-``materialise``      cuts lineage with a table written to the shared checkpoint folder.
-``join_measured``    joins a summary table back: broadcast only when its measured size allows it.
-``largest_group``    rows in the biggest group, to choose between one-task and split strategies.
-``values_at_ranks``  exact order statistics per group, without one task ever seeing a whole group.
+``materialise``              cuts lineage with a table written to the shared checkpoint folder.
+``scratch``                  a scope at whose end the tables written in it are deleted.
+``join_measured``            joins a summary table back: broadcast only when its size allows it.
+``running_counts``           rows below each value of a group, without one task seeing a whole group.
+``aggregate_with_quantiles`` a grouped aggregation with exact quantiles on top of it.
 """
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 BROADCAST_BYTES = 32 * 1024 * 1024
-JOIN_SALTS = 32
-GROUP_ROWS = 1_000_000
-CELLS = 4096
+UNPACKED = 10  # times a Parquet file's size that its rows take up in a hash table, at most
+CELLS_PER_OCTAVE = 64
+_scopes: list[list[str]] = []
 
 
 def shared_folder(spark) -> str:
@@ -42,14 +43,27 @@ def materialise(df: DataFrame) -> DataFrame:
     it needs and knows the table's size.
     """
     path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """Upper estimate of the size of ``df``, from the text length of its rows."""
-    row = df.agg(F.coalesce(F.sum(F.length(F.to_json(F.struct("*"))) + 64), F.lit(0)).alias("b")).first()
-    return int(row["b"])
+@contextmanager
+def scratch(spark):
+    """Delete the tables that ``materialise`` writes within, once what was wanted from them is written or collected."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def stored_bytes(table: DataFrame) -> int:
+    """Upper estimate of what a stored table takes up in memory, from the size of its files; starts no job."""
+    return UNPACKED * int(str(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def join_measured(
@@ -64,9 +78,9 @@ def join_measured(
 ) -> DataFrame:
     """Join the summary ``right`` onto ``left`` (``how`` is inner or left) without moving ``left``.
 
-    ``right`` is materialised, unless it is ``stored`` already, and measured. Up to ``limit`` bytes it is broadcast. Beyond, both
-    sides are shuffled on the keys plus a salt, so that rows of a hot key spread over
-    ``JOIN_SALTS`` tasks; adaptive skew splitting works on top of that.
+    ``right`` is materialised, unless it is ``stored`` already. Up to ``limit`` bytes, by its files,
+    it is broadcast. Beyond, it is a shuffled join with nothing between the shuffles and the join,
+    so that adaptive execution can split the partitions of hot keys on the left.
 
     ``on`` columns come out once, from ``left``. ``null_safe`` lets NULL keys meet. ``extra``
     gets ``(left column function, right column function)`` and returns one more condition.
@@ -74,7 +88,7 @@ def join_measured(
     if how not in ("inner", "left"):
         raise ValueError("how must be inner or left")
     right = right if stored else materialise(right)
-    small = measured_bytes(right) <= (BROADCAST_BYTES if limit is None else limit)
+    small = stored_bytes(right) <= (BROADCAST_BYTES if limit is None else limit)
 
     renamed = right.withColumnsRenamed({c: f"__r_{c}" for c in right.columns})
     keep = [c for c in right.columns if c not in on]
@@ -84,122 +98,42 @@ def join_measured(
         conditions.append(l.eqNullSafe(r) if null_safe else l == r)
     if extra is not None:
         conditions.append(extra(F.col, lambda c: F.col(f"__r_{c}")))
-    if small:
-        joined = left.join(F.broadcast(renamed), reduce(lambda a, b: a & b, conditions), how)
-    else:
-        salted = left.withColumn("__salt", F.pmod(F.xxhash64(*left.columns), F.lit(JOIN_SALTS)).cast("int"))
-        copies = renamed.withColumn("__r_salt", F.explode(F.sequence(F.lit(0), F.lit(JOIN_SALTS - 1))))
-        conditions.append(F.col("__salt") == F.col("__r_salt"))
-        joined = salted.join(copies, reduce(lambda a, b: a & b, conditions), how)
+    side = F.broadcast(renamed) if small else renamed
+    joined = left.join(side, reduce(lambda a, b: a & b, conditions), how)
     return joined.select(*left.columns, *[F.col(f"__r_{c}").alias(c) for c in keep])
 
 
-def largest_group(df: DataFrame, keys: list[str]) -> int:
-    """Rows in the biggest group of ``keys``; reads the key columns only."""
-    row = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n")).first()
-    return int(row["n"] or 0)
+def value_cell(value: Column) -> Column:
+    """A number that never falls as ``value`` (a number of any type) rises: ``CELLS_PER_OCTAVE`` cells to a doubling.
 
+    Zero has a cell of its own, NaN goes with the largest.
+    """
+    d = value.cast("double")
+    far = F.lit(1 << 20)  # above the largest cell number of a magnitude
+    size = F.least(F.floor(F.log2(F.abs(d)) * CELLS_PER_OCTAVE), F.lit(1 << 17)).cast("bigint")  # infinity too
+    return F.when(F.isnan(d), F.lit(1 << 62)).when(d == 0, F.lit(0)).when(d > 0, far + size).otherwise(-far - size).cast("bigint")
 
-def values_at_ranks(
-    df: DataFrame,
-    keys: list[str],
-    value: str,
-    ranks,
-    max_group_rows: int | None = None,
-) -> DataFrame:
-    """The values at given 1-based ranks of ``value`` (a double, NULLs ignored) in each group.
 
-    ``ranks`` maps a name to a function from the group's row count to a rank. One row per
-    group and name: ``n`` rows in the group, ``rank``, ``value``, ``below`` rows with smaller
-    values and ``ties`` rows with this value.
+def running_counts(groups: DataFrame, keys: list[str], value: str, count: str) -> DataFrame:
+    """Add ``below``, rows with a smaller value in the same group, and ``total``, rows of the group.
 
-    Groups larger than ``max_group_rows`` are narrowed first: each pass counts the rows of
-    every zone that still holds a wanted rank over ``CELLS`` equal-width cells (a map-side
-    combined count, at most ``CELLS`` rows per zone leave a task) and keeps the observed range
-    of the cells the ranks fall in. Passes stop when a zone is small or holds a single value,
-    so the last step only sorts short value histograms. The counts are exact throughout.
+    ``groups`` has one row per group of ``keys`` and ``value``, which stands for ``count`` rows.
+    Counts run over the cells of a group first and then within each cell, so the work on a hot
+    group spreads over as many tasks as it has cells.
     """
-    limit = GROUP_ROWS if max_group_rows is None else max_group_rows
-    rows = df.select(*keys, F.col(value).cast("double").alias("value")).where(F.col("value").isNotNull())
-    wanted = F.array(*[F.struct(F.lit(q).alias("q"), rule(F.col("n")).cast("bigint").alias("rank")) for q, rule in ranks.items()])
-    finite = F.when(~F.isnan("value") & (F.abs("value") != F.lit(float("inf"))), F.col("value"))
-    extent = [
-        F.count(F.lit(1)).alias("rows"),
-        F.min("value").alias("lo"),
-        F.max("value").alias("hi"),
-        F.min(finite).alias("finite_lo"),
-        F.max(finite).alias("finite_hi"),
-    ]
-    zones = rows.groupBy(*keys).agg(*extent).withColumn("n", F.col("rows"))
-    zones = zones.select(*keys, "n", wanted.alias("wanted"), F.lit(0).cast("bigint").alias("below"), *["rows", "lo", "hi", "finite_lo", "finite_hi"])
-
-    open_zone = (F.col("rows") > limit) & (F.col("finite_lo") < F.col("finite_hi"))
-    left = None
-    while True:
-        zones = materialise(zones)
-        open_rows = zones.where(open_zone).agg(F.sum("rows").alias("n")).first()["n"]
-        if open_rows is None or open_rows == left:  # done, or values too close to tell apart
-            break
-        left = open_rows
-        zones = zones.where(~F.coalesce(open_zone, F.lit(False))).unionByName(
-            _narrowed(rows, zones.where(open_zone), keys, extent)
-        )
-
-    one_value = F.col("lo") == F.col("hi")
-    single = zones.where(one_value).select(
-        *keys, "n", F.explode("wanted").alias("w"), F.col("lo").alias("value"), "below", F.col("rows").alias("ties")
-    )
-    several = zones.where(~one_value)
-    histogram = _in_zones(rows, several, keys).groupBy(*keys, "lo", "hi", "value").agg(F.count(F.lit(1)).alias("ties"))
-    found = _ranked(histogram, several, keys, "value", "ties").select(
-        *keys, "n", F.explode("hits").alias("w"), "value", F.col("before").alias("below"), "ties"
-    )
-    return single.unionByName(found).select(*keys, "w.q", "n", "w.rank", "value", "below", "ties")
-
-
-def _in_zones(rows: DataFrame, zones: DataFrame, keys: list[str]) -> DataFrame:
-    bounds = zones.select(*keys, "lo", "hi", "finite_lo", "finite_hi")
-    inside = lambda l, r: (l("value") >= r("lo")) & (l("value") <= r("hi"))
-    return join_measured(rows, bounds, keys, "inner", null_safe=True, extra=inside, stored=True)
-
-
-def _ranked(counts: DataFrame, zones: DataFrame, keys: list[str], order: str, size: str) -> DataFrame:
-    """Keep the histogram rows that wanted ranks fall in, with the rows before each."""
-    zone = [*keys, "lo", "hi"]
-    targets = zones.select(*zone, "n", "wanted", F.col("below").alias("zone_below"))
-    upto = F.col("zone_below") + F.sum(size).over(Window.partitionBy(*zone).orderBy(order))
-    return (
-        join_measured(counts, targets, zone, "inner", null_safe=True, stored=True)
-        .withColumn("upto", upto)
-        .withColumn("before", F.col("upto") - F.col(size))
-        .withColumn("hits", F.expr("filter(wanted, w -> w.rank > before AND w.rank <= upto)"))
-        .where(F.size("hits") > 0)
-    )
-
-
-def _narrowed(rows: DataFrame, zones: DataFrame, keys: list[str], extent: list[Column]) -> DataFrame:
-    """Replace each zone by those of its cells that wanted ranks fall in."""
-    cell = (
-        F.when(F.col("value") > F.col("finite_hi"), F.lit(CELLS + 2))
-        .when(F.col("value") < F.col("finite_lo"), F.lit(-1))
-        .otherwise(F.width_bucket("value", "finite_lo", "finite_hi", F.lit(CELLS)))
-    )
-    cells = (
-        _in_zones(rows, zones, keys)
-        .withColumn("cell", cell.cast("int"))
-        .withColumnsRenamed({"lo": "zone_lo", "hi": "zone_hi"})
-        .groupBy(*keys, "zone_lo", "zone_hi", "cell")
-        .agg(*extent)
-        .withColumnsRenamed({"lo": "cell_lo", "hi": "cell_hi", "zone_lo": "lo", "zone_hi": "hi"})
+    held = groups.withColumn("__cell", value_cell(F.col(value)))
+    whole = Window.partitionBy(*keys)
+    cells = held.groupBy(*keys, "__cell").agg(F.sum(count).alias("__in"))
+    cells = cells.select(
+        *[F.col(k).alias(f"__k_{k}") for k in keys], F.col("__cell").alias("__c"),
+        (F.sum("__in").over(whole.orderBy("__cell")) - F.col("__in")).alias("__before"), F.sum("__in").over(whole).alias("total"),
     )
-    return _ranked(cells, zones, keys, "cell", "rows").select(
-        *keys, "n", F.col("hits").alias("wanted"), F.col("before").alias("below"), "rows",
-        F.col("cell_lo").alias("lo"), F.col("cell_hi").alias("hi"), "finite_lo", "finite_hi",
-    )
-
-
-def _disc_rank(p: float):
-    return lambda n: F.greatest(F.ceil(n * F.lit(float(p))), F.lit(1))
+    same = F.col("__cell") == F.col("__c")
+    for k in keys:
+        same &= F.col(k).eqNullSafe(F.col(f"__k_{k}"))
+    within = Window.partitionBy(*keys, "__cell").orderBy(value)
+    below = F.col("__before") + F.sum(count).over(within) - F.col(count)
+    return held.join(cells, same).withColumn("below", below).select(*groups.columns, "below", "total")
 
 
 def aggregate_with_quantiles(
@@ -208,47 +142,40 @@ def aggregate_with_quantiles(
     aggregates: list[Column],
     quantiles: dict[str, tuple[str, float]],
     approx: bool = False,
-    max_group_rows: int | None = None,
 ) -> DataFrame:
     """``groupBy(keys)`` with ordinary aggregates plus exact discrete quantiles.
 
-    ``quantiles`` maps an output name to (column, probability). A quantile is an observed
-    value: the smallest whose cumulative share reaches the probability. While the largest
-    group fits a task this is one aggregation; otherwise quantiles come from
-    ``values_at_ranks`` and are joined on. ``approx`` trades exactness for one mergeable sketch.
+    ``quantiles`` maps an output name to (column, probability). A quantile is an observed value,
+    of the column's own type: the smallest whose cumulative share reaches the probability. All
+    quantiles of columns of one type come from one histogram (equal values combine map-side) and
+    ``running_counts``; the plan is the same for groups of any size and starts no job while it is
+    built. ``approx`` trades exactness for one mergeable sketch.
     """
-    limit = GROUP_ROWS if max_group_rows is None else max_group_rows
     if approx:
         built_in = [F.percentile_approx(c, p).alias(name) for name, (c, p) in quantiles.items()]
         return df.groupBy(*keys).agg(*aggregates, *built_in)
-    if largest_group(df, keys) <= limit:
-        built_in = [
-            F.expr(f"percentile_disc({p!r}) WITHIN GROUP (ORDER BY `{c}`)").alias(name)
-            for name, (c, p) in quantiles.items()
-        ]
-        return df.groupBy(*keys).agg(*aggregates, *built_in)
-
-    measures = sorted({c for c, _ in quantiles.values()})
-    long = df.select(
-        *keys,
-        F.explode(
-            F.array(*[F.struct(F.lit(m).alias("measure"), F.col(m).cast("double").alias("v")) for m in measures])
-        ).alias("m"),
-    ).select(*keys, "m.measure", "m.v")
-    ranks = {repr(p): _disc_rank(p) for p in sorted({p for _, p in quantiles.values()})}
-    found = values_at_ranks(long, [*keys, "measure"], "v", ranks, limit)
-    types = {f.name: f.dataType for f in df.schema.fields}
-    pick = [
-        F.max(F.when((F.col("measure") == c) & (F.col("q") == repr(p)), F.col("value"))).cast(types[c]).alias(name)
-        for name, (c, p) in quantiles.items()
-    ]
-    wide = found.groupBy(*keys).agg(*pick)
-    base = df.groupBy(*keys).agg(*aggregates) if aggregates else df.select(*keys).distinct()
-    if not keys:
-        return base.crossJoin(wide)  # one row each
-    return join_measured(base, wide, keys, "left", null_safe=True)
-
-
-def as_doubles(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Cast the named columns to double in one projection."""
-    return df.withColumns({c: F.col(c).cast(T.DoubleType()) for c in columns})
+    kinds = dict(df.dtypes)
+    out = df.groupBy(*keys).agg(*aggregates) if aggregates else df.select(*keys).distinct() if keys else df.groupBy().agg(F.lit(1).alias("__one"))
+    for kind in sorted({kinds[c] for c, _ in quantiles.values()}):
+        wanted = {name: (c, p) for name, (c, p) in quantiles.items() if kinds[c] == kind}
+        found = _quantiles(df, keys, wanted)
+        if keys:
+            renamed = found.withColumnsRenamed({k: f"__k_{k}" for k in keys})
+            same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in keys])
+            out = out.join(renamed, same, "left").select(*out.columns, *wanted)
+        else:
+            out = out.crossJoin(found)  # one row each
+    return out.select(*[c for c in out.columns if c not in (*quantiles, "__one")], *quantiles)
+
+
+def _quantiles(df: DataFrame, keys: list[str], wanted: dict[str, tuple[str, float]]) -> DataFrame:
+    measures = sorted({c for c, _ in wanted.values()})
+    long = df.select(*keys, F.explode(F.array(*[F.struct(F.lit(m).alias("__measure"), F.col(m).alias("__v")) for m in measures])).alias("__m"))
+    long = long.select(*keys, "__m.*").where(F.col("__v").isNotNull())
+    counted = long.groupBy(*keys, "__measure", "__v").agg(F.count(F.lit(1)).alias("__n"))
+    ranked = running_counts(counted, [*keys, "__measure"], "__v", "__n")
+    hit = lambda p: (F.greatest(F.ceil(F.col("total") * F.lit(float(p))), F.lit(1)) > F.col("below")) & (
+        F.greatest(F.ceil(F.col("total") * F.lit(float(p))), F.lit(1)) <= F.col("below") + F.col("__n")
+    )
+    pick = [F.max(F.when((F.col("__measure") == c) & hit(p), F.col("__v"))).alias(name) for name, (c, p) in wanted.items()]
+    return ranked.where(reduce(lambda a, b: a | b, [hit(p) for p in sorted({p for _, p in wanted.values()})])).groupBy(*keys).agg(*pick)

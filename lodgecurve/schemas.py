@@ -81,32 +81,6 @@ WEEKEND_SHARE = 2.0 / 7.0
 
 # --- Schemas ---------------------------------------------------------------------------
 
-LISTING_SCHEMA = T.StructType(
-    [
-        T.StructField("listing_id", T.LongType()),
-        T.StructField("listing_price", T.DoubleType()),
-        T.StructField("room_type", T.StringType()),
-        T.StructField("room_shared", T.BooleanType()),
-        T.StructField("room_private", T.BooleanType()),
-        T.StructField("person_capacity", T.DoubleType()),
-        T.StructField("host_is_superhost", T.StringType()),
-        T.StructField("multi", T.StringType()),
-        T.StructField("biz", T.StringType()),
-        T.StructField("cleanliness_rating", T.DoubleType()),
-        T.StructField("guest_satisfaction_overall", T.DoubleType()),
-        T.StructField("bedrooms", T.DoubleType()),
-        T.StructField("city_center_dist", T.DoubleType()),
-        T.StructField("metro_dist", T.DoubleType()),
-        T.StructField("city", T.StringType()),
-        T.StructField("weekend", T.StringType()),
-        T.StructField("season", T.StringType()),
-        T.StructField("days_in_period", T.DoubleType()),
-        T.StructField("days_booked", T.DoubleType()),
-        T.StructField("occupancy_rate", T.DoubleType()),
-        T.StructField("n_bookings", T.DoubleType()),
-    ]
-)
-
 ELASTICITY_SCHEMA = T.StructType(
     [
         T.StructField("city", T.StringType(), False),

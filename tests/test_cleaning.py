@@ -118,3 +118,11 @@ def test_one_hot_round_trip_and_unseen(spark):
         {"cat_city_x": 0, "cat_city_y": 0, "cat_season_s": 0, "cat_season_t": 0},
     ]
     assert column(encoding.reverse_one_hot(out, "city"), "city") == ["y", None]
+
+
+def test_names_agree_and_null_key_parts_count(spark):
+    for text in ("--", "", "A b", " Éa-B ", "5+", "x__y"):
+        df = spark.createDataFrame([(text,)], "t string")
+        assert df.select(V.safe_category(F.col("t"))).first()[0] == V.category_suffix(text) != ""
+    rows = spark.createDataFrame([("a", None, "b"), ("a", "b", None), (None, "a", "b")], "x string, y string, z string")
+    assert rows.select(V.hash_number(F.col("x"), F.col("y"), F.col("z"))).distinct().count() == 3

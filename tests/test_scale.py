@@ -30,12 +30,11 @@ def expected(rows, column, p):
     return known[max(1, math.ceil(p * len(known))) - 1]
 
 
-@pytest.mark.parametrize("limit", [10**6, 40])
-def test_quantiles_match_sorting(spark, skewed, limit):
+def test_quantiles_match_sorting(spark, skewed):
     by_key = {}
     for r in skewed.collect():
         by_key.setdefault(r["k"], []).append(r)
-    out = scale.aggregate_with_quantiles(skewed, ["k"], [F.count(F.lit(1)).alias("n")], QUANTILES, max_group_rows=limit)
+    out = scale.aggregate_with_quantiles(skewed, ["k"], [F.count(F.lit(1)).alias("n")], QUANTILES)
     found = {r["k"]: r for r in out.collect()}
     assert set(found) == set(by_key)
     for k, rows in by_key.items():
@@ -45,7 +44,7 @@ def test_quantiles_match_sorting(spark, skewed, limit):
 
 
 def test_quantiles_without_keys(spark, skewed):
-    out = scale.aggregate_with_quantiles(skewed, [], [F.count("w").alias("n")], {"m": ("w", 0.5)}, max_group_rows=40).first()
+    out = scale.aggregate_with_quantiles(skewed, [], [F.count("w").alias("n")], {"m": ("w", 0.5)}).first()
     assert out["n"] == 6000 and out["m"] == expected(skewed.collect(), "w", 0.5)
 
 
@@ -77,14 +76,13 @@ def dealt(rows, bins):
     return out
 
 
-@pytest.mark.parametrize("limit", [10**6, 25])
-def test_price_bins_match_brute_force(spark, limit):
+def test_price_bins_match_brute_force(spark):
     rng = random.Random(3)
     rows = [("hot", 100.0 if i % 3 == 0 else float(rng.randint(20, 400)), round(rng.random(), 3)) for i in range(1003)]
     rows += [("tiny", float(i), 0.5) for i in range(1, 8)] + [("same", 50.0, i / 100) for i in range(1, 64)]
     rows += [("hot", None, 0.3), ("hot", 10.0, None)]
     df = spark.createDataFrame(rows, "k string, listing_price double, occupancy_rate double")
-    out = elasticity.price_bins(df, ["k"], max_group_rows=limit)
+    out = elasticity.price_bins(df, ["k"])
     for k in ("hot", "tiny", "same"):
         found = sorted(tuple(r) for r in out.where(F.col("k") == k).select("bin", "n", "x", "mean_occupancy").collect())
         want = dealt([(p, o) for key, p, o in rows if key == k and p is not None and o is not None], 20)
@@ -126,3 +124,41 @@ def test_approximate_quantiles_stay_close(spark, skewed):
     rough = scale.aggregate_with_quantiles(skewed, ["k"], [], {"m": ("w", 0.5)}, approx=True)
     a, b = ({r["k"]: r["m"] for r in df.collect()} for df in (exact, rough))
     assert a == pytest.approx(b, abs=0.02)
+
+
+@pytest.mark.parametrize("kind", ["bigint", "decimal(38,4)", "double", "int", "float"])
+def test_quantiles_keep_type_and_value(spark, kind):
+    big = 2**53 if kind in ("bigint", "decimal(38,4)") else 1000
+    values = [big + i for i in range(-40, 41)] * 3 + [-5, 0, 0, 7, -big]
+    df = spark.createDataFrame([("hot" if i % 3 else "b", v) for i, v in enumerate(values)], "k string, v bigint").withColumn("v", F.col("v").cast(kind))
+    out = scale.aggregate_with_quantiles(df, ["k"], [], {"m": ("v", 0.5), "lo": ("v", 0.02), "hi": ("v", 1.0)})
+    assert [t for c, t in out.dtypes if c != "k"] == [kind] * 3
+    for r in out.collect():
+        mine = sorted(v for i, v in enumerate(values) if (i % 3 > 0) == (r["k"] == "hot"))
+        assert [int(r[c]) for c in ("m", "lo", "hi")] == [mine[max(1, math.ceil(p * len(mine))) - 1] for p in (0.5, 0.02, 1.0)]
+
+
+def test_cells_rise_with_values(spark):
+    values = sorted([random.Random(i).uniform(-1, 1) * 10 ** random.Random(-i).randint(-300, 300) for i in range(500)] + [0.0, -0.0, 1.0, 2.0, -1.0])
+    rows = [(float(v),) for v in [float("-inf"), *values, float("inf"), float("nan")]]
+    cells = [r["c"] for r in spark.createDataFrame(rows, "v double").coalesce(1).select(scale.value_cell(F.col("v")).alias("c")).collect()]
+    assert cells == sorted(cells)
+
+
+def test_hot_groups_spread_over_tasks(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        groups = spark.range(20000).select(F.lit("hot").alias("k"), (F.col("id") + 1).alias("v"), F.lit(1).alias("n"))
+        tasks = scale.running_counts(groups, ["k"], "v", "n").groupBy(F.spark_partition_id()).count().collect()
+        assert len(tasks) >= 3 and max(r["count"] for r in tasks) < 15000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_scratch_tables_go(spark):
+    with scale.scratch(spark):
+        kept = scale.materialise(spark.range(5))
+        path = kept.inputFiles()[0]
+        assert kept.count() == 5
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
+        spark.read.parquet(path).count()
