@@ -121,12 +121,18 @@ def prefixes(word: bytes) -> list[bytes]:
 
 def telling(samples: list[tuple[list[bytes], int]]) -> set[bytes]:
     """Prefixes (and whole words) that toxic documents have far more often than ordinary ones."""
-    seen, n = (Counter(), Counter()), [0, 0]
+    toxic = Counter()
     for words, label in samples:
-        n[label] += 1
-        seen[label].update({p for w in set(words) for p in prefixes(w)})
-    odds = lambda p: math.log((seen[1][p] + 0.5) / (n[1] + 1)) - math.log((seen[0][p] + 0.5) / (n[0] + 1))
-    return {p for p, k in seen[1].items() if k >= max(3, 0.01 * n[1]) and odds(p) > 2.5}
+        if label:
+            toxic.update({p for w in set(words) for p in prefixes(w)})
+    n = sum(label for _, label in samples)
+    toxic = {p: k for p, k in toxic.items() if k >= max(3, 0.01 * n)}
+    ordinary = Counter()  # only of prefixes that may tell, which are few
+    for words, label in samples:
+        if not label:
+            ordinary.update({p for w in set(words) for p in prefixes(w) if p in toxic})
+    share = lambda k, of: math.log((k + 0.5) / (of + 1))
+    return {p for p, k in toxic.items() if share(k, n) - share(ordinary[p], len(samples) - n) > 2.5}
 
 
 def dictionary(samples: list[bytes], size: int) -> bytes:
@@ -142,7 +148,8 @@ def dictionary(samples: list[bytes], size: int) -> bytes:
 
 def train(samples: list[tuple[str, int]], window: int = 1) -> Model:
     """A model from labelled texts (1 toxic, 0 ordinary)."""
-    cut = [(words_of(t), label) for t, label in samples]
+    seen: dict[bytes, bytes] = {}
+    cut = [([seen.setdefault(w, w) for w in words_of(t)], label) for t, label in samples]
     toxic = sum(label for _, label in cut)
     base = math.log((toxic + 0.5) / (len(cut) - toxic + 0.5))
     constant = Model(b" ", b" ", np.concatenate([[base], np.zeros(1 + 2 * len(THRESHOLDS))]), window)
@@ -152,9 +159,10 @@ def train(samples: list[tuple[str, int]], window: int = 1) -> Model:
         return constant
     groups = [b"".join(lines[i : i + 4]) for i in range(0, len(lines), 4)]
     groups *= max(1, 20_000 // len(groups))
-    plain = [b" " + b" ".join(words[i : i + 4]) + b" " for words, label in cut if not label for i in range(0, len(words), 4)]
-    step = max(1, len(plain) // 60_000)
-    model = Model(dictionary(groups, TOXIC_BYTES), dictionary(plain[::step], ORDINARY_BYTES), constant.weights, window)
+    places = ((words, i) for words, label in cut if not label for i in range(0, len(words), 4))
+    step = max(1, sum(-(-len(words) // 4) for words, label in cut if not label) // 60_000)
+    plain = [b" " + b" ".join(words[i : i + 4]) + b" " for at, (words, i) in enumerate(places) if at % step == 0]
+    model = Model(dictionary(groups, TOXIC_BYTES), dictionary(plain, ORDINARY_BYTES), constant.weights, window)
     margins = Margins(model)
     x = np.stack([features(margins(windows_of(words, window))) for words, _ in cut])
     model.weights = fitted(x, np.array([label for _, label in cut], dtype=np.float64))
