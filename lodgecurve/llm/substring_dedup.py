@@ -149,6 +149,7 @@ def earlier_pieces(docs: DataFrame, window: int = WINDOW, cells: int = CELLS, de
         rows = materialise(rows)
         # a core of one document only has no earlier place
         again = rows.groupBy("core").agg(F.min("id").alias("low"), F.max("id").alias("high")).where(F.col("low") < F.col("high")).select("core")
+        again = materialise(again)  # its own table, so that the join's hot partitions can be split
         rows = materialise(rows.join(again, "core"))
         groups = materialise(rows.groupBy("core", "hull").agg(F.min("id").alias("first")))
         placed = rows.join(groups, ["core", "hull"])

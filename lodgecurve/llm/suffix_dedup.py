@@ -57,6 +57,7 @@ def repeated_pieces(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     for block in [*blocks[1:], None]:
         rows = materialise(rows.drop("id"))
         again = rows.groupBy("core").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select("core")
+        again = materialise(again)  # its own table, so that the join's hot partitions can be split
         rows = materialise(rows.join(again, "core"))
         groups = materialise(rows.groupBy("core", "hull").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("uid", "pos")).alias("one")))
         equal = groups.where(F.col("n") > 1).select("core", "hull")
