@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.feature import OneHotEncoder, StringIndexer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -59,8 +61,22 @@ def apply_one_hot(df: DataFrame, fitted: dict[str, dict[str, list[str]]], drop_o
     return out.drop(*fitted) if drop_originals else out
 
 
-def one_hot(df: DataFrame, columns: list[str] | None = None, drop_originals: bool = False) -> DataFrame:
-    return apply_one_hot(df, fit_categories(df, columns), drop_originals)
+def one_hot(
+    df: DataFrame, columns: list[str] | None = None, drop_originals: bool = False, max_categories: int = MAX_CATEGORIES
+) -> DataFrame:
+    return apply_one_hot(df, fit_categories(df, columns, max_categories), drop_originals)
+
+
+def indexed_categories(df: DataFrame, columns: list[str]) -> PipelineModel:
+    """A fitted encoder of text columns to sparse 0/1 vectors ``{column}_vector``, for columns with many values.
+
+    One vector column stands for all values of a column, so a table of thousands of cities keeps
+    its width. Values not seen at fitting, and NULL, share a place of their own.
+    """
+    names = [f"__index_{c}" for c in columns]
+    index = StringIndexer(inputCols=columns, outputCols=names, handleInvalid="keep", stringOrderType="alphabetAsc")
+    vectors = OneHotEncoder(inputCols=names, outputCols=[f"{c}_vector" for c in columns], handleInvalid="keep", dropLast=False)
+    return Pipeline(stages=[index, vectors]).fit(df)
 
 
 def reverse_one_hot(df: DataFrame, column: str) -> DataFrame:

@@ -16,15 +16,17 @@ def feature_dataset(
     segment_cols: list[str] = SEGMENT_COLS,
     encode: bool = True,
     categories: dict[str, dict[str, list[str]]] | None = None,
+    max_categories: int = encoding.MAX_CATEGORIES,
 ) -> tuple[DataFrame, DataFrame]:
     """Listing features with segment statistics and one-hot columns, and the segment dataset.
 
-    Both results share one aggregation over the segments.
+    Both results share one aggregation over the segments. ``max_categories`` bounds the one-hot
+    columns that are fitted where no ``categories`` are given.
     """
     listed = segments.listing_features(df)
     dataset = materialise(segments.segment_dataset(listed, segment_cols))
     if encode:
-        fitted = encoding.fit_categories(listed, CATEGORIES) if categories is None else categories
+        fitted = encoding.fit_categories(listed, CATEGORIES, max_categories) if categories is None else categories
         listed = encoding.apply_one_hot(listed, fitted)
     stats = segments.stats_from_dataset(dataset, segment_cols)
     out = segments.competition_features(listed, segment_cols, stats)
@@ -36,6 +38,7 @@ def prepare_listings(
     elasticity_rows: DataFrame | None = None,
     segment_cols: list[str] = SEGMENT_COLS,
     categories: dict[str, dict[str, list[str]]] | None = None,
+    max_categories: int = encoding.MAX_CATEGORIES,
 ) -> tuple[DataFrame, DataFrame]:
     """Clip, derive, drop outliers and add price elasticity; gives listings and the segment dataset.
 
@@ -45,11 +48,12 @@ def prepare_listings(
     """
     listed = segments.listing_features(cleaning.clip_listings(raw))
     known = materialise(segments.segment_dataset(listed, segment_cols, segments.quartiles()).withColumns(segments.fences()))
-    fitted = encoding.fit_categories(listed, CATEGORIES) if categories is None else categories
+    fitted = encoding.fit_categories(listed, CATEGORIES, max_categories) if categories is None else categories
     stats = segments.stats_from_dataset(known, segment_cols, "lower_bound", "upper_bound")
     joined = segments.competition_features(encoding.apply_one_hot(listed, fitted), segment_cols, stats)
     kept = joined.where(segments.inside_fences()).drop("lower_bound", "upper_bound", "room_type")
     if elasticity_rows is None:
+        kept = materialise(kept)  # read by the bins and by the join that brings their slopes back
         elasticity_rows = elasticity.elasticity_rows(elasticity.breakpoint_fit(elasticity.price_bins(kept)))
     out = elasticity.impute_slope(elasticity.with_elasticity(kept, elasticity_rows))
     return out, known.drop("q1", "q3", "iqr", "lower_bound", "upper_bound")
