@@ -35,7 +35,7 @@ TRAINING_CHARS = 20_000
 HASHED = 512
 STEPS = 60
 TOLERANCE = 1e-3
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 SHARES = {"high": 0.80, "low": 0.12, "toxic": 0.08}
 DOMAIN = "CASE WHEN toxic = 1 THEN 'toxic' WHEN quality = 1 THEN 'high' WHEN quality = 0 THEN 'low' END"
 

@@ -35,7 +35,7 @@ DIMENSIONS = 4
 CURVE_BITS = 10
 TIE_BITS = 22
 STRETCH = 2_500_000
-REMEMBERED = 1_000_000
+REMEMBERED = 400_000
 
 
 @lru_cache(maxsize=1)
@@ -104,7 +104,7 @@ class Pieces:
     are lower-cased. A piece is known by a 64-bit hash of its bytes.
     """
 
-    BATCH = 1 << 20
+    BATCH = 1 << 19
 
     def __init__(self) -> None:
         kind = np.full(256, 3, dtype=np.uint8)

@@ -32,7 +32,7 @@ BASE_PERCENT = 20
 SYMBOLS = b"#*$%&|<>"
 SPACES = b" \t\n\x0b\x0c\r"
 BATCH_WORDS = 200_000
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 
 
 def suffix_order(tokens: np.ndarray, document: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -219,7 +219,7 @@ class Wide:
     def __call__(self, text: bytes) -> tuple[np.ndarray, bytes]:
         """Block keys of the word fingerprint; the shingle fingerprint."""
         tokens, known = text.lower().split(), self.known
-        if len(known) > 400_000:
+        if len(known) > 150_000:
             known.clear()
         for w in set(tokens).difference(known):
             known[w] = xxhash.xxh3_64_intdigest(w)

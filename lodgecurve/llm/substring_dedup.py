@@ -39,7 +39,7 @@ PENDING = 1 << 20
 class Words:
     """64-bit hashes of words, remembered for the words seen lately."""
 
-    def __init__(self, limit: int = 400_000) -> None:
+    def __init__(self, limit: int = 150_000) -> None:
         self.known: dict[bytes, int] = {}
         self.limit = limit
 

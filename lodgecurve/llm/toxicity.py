@@ -41,7 +41,7 @@ LEVEL = 9
 THRESHOLDS = (1, 3, 4, 5, 6)
 PREFIX = 4
 FRAME = b"0123456789876543210"
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 SPACES = re.compile(rb"[^a-z\x80-\xff]+")
 
 
