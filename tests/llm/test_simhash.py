@@ -106,3 +106,19 @@ def test_similar_documents_meet(spark):
     groups = simhash.similar_groups(frame(spark, pairs)).groupBy("root").agg(F.sort_array(F.collect_list("id")).alias("ids")).collect()
     together = {tuple(g.ids) for g in groups}
     assert all(len(g) <= 2 for g in together) and sum(len(g) == 2 for g in together) >= 36
+
+
+def passage_edits(seed: int, size: int) -> list[str]:
+    """A text, and it with its end cut off, with a passage added and with one replaced: each just over Jaccard 0.8."""
+    words, other = prose(seed, size).split(), prose(seed + 5000, size).split()
+    k, few = int(size * 0.19), int(size * 0.09)
+    return [" ".join(w) for w in (words, words[: size - k], words + other[:k], words[:50] + other[:few] + words[50 + few :])]
+
+
+def test_texts_with_a_passage_cut_added_or_replaced_meet():
+    wide, met = simhash.Wide(5), [0, 0, 0]
+    for seed in range(100):
+        first, *edits = [wide(t.encode()) for t in passage_edits(seed, 300)]
+        for kind, edit in enumerate(edits):
+            met[kind] += bool((first[0] == edit[0]).any())
+    assert min(met) >= 95
