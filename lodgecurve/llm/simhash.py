@@ -33,13 +33,15 @@ from lodgecurve.operators.scale import materialise
 BITS = 64
 BUCKET = 4096
 SEED = 42
-SIMILARITY = 0.72
+SIMILARITY = 0.8
+LOOSE = 0.6  # of the similarity; candidates are as alike as that by their bits
+MEMBERS = 1024
+SHINGLES = 1 << 20
 JUDGE_LANES = 4
 MEET_LANES = 16
 MEET_BLOCKS = 62
 MEET_WIDTH = 16
 SHORT = 64
-LEAST = 0.8
 
 
 def fingerprint(text: bytes, words: int) -> int:
@@ -204,8 +206,8 @@ def near_duplicates(
 class Wide:
     """A long fingerprint of the distinct shingles of a text: blocks of it to meet by, its first bits to judge by."""
 
-    def __init__(self, words: int) -> None:
-        self.words, self.known = words, {}
+    def __init__(self, words: int, similarity: float = SIMILARITY) -> None:
+        self.words, self.similarity, self.known = words, similarity, {}
 
     @staticmethod
     def bits(hashes: np.ndarray, lanes: int) -> np.ndarray:
@@ -232,7 +234,7 @@ class Wide:
         shingles = self.shingles(text)
         bits = self.bits(shingles, MEET_LANES)
         n = len(shingles)
-        first = shingles[: n - int(np.ceil(LEAST * n - 1e-9)) + 1] if n <= SHORT else shingles[:0]
+        first = shingles[: n - int(np.ceil(self.similarity * n - 1e-9)) + 1] if n <= SHORT else shingles[:0]
         return bits.view("<u2")[:MEET_BLOCKS].astype(np.int32), bits[: 8 * JUDGE_LANES].tobytes(), first, shingles
 
 
@@ -241,21 +243,97 @@ def bits_apart(similarity: float, bits: int = 64) -> int:
     return int(round(bits * np.arccos(2 * similarity / (1 + similarity)) / np.pi))
 
 
+def exact_links(bodies: DataFrame, candidates: DataFrame, words: int, similarity: float, members: int = MEMBERS, most: int = SHINGLES) -> DataFrame:
+    """Edges ``a, b`` that connect the ``fp`` of one ``root`` whose shingles have this Jaccard similarity at least.
+
+    ``candidates`` (``fp, uid, root``) name a text of ``bodies`` for each ``fp``. Every pair of a root is
+    compared unless other edges connect it. A root of over ``members`` texts or ``most`` shingles is dealt
+    to several tasks as pairs of its parts, so a task holds about two such parts.
+    """
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wide = Wide(words)
+        for batch in batches:
+            sets = [wide.shingles(t) for (t,) in rows_of([batch], "body")]
+            made = [column(batch, "fp"), column(batch, "root"), longs([len(x) for x in sets]), pa.array([x.tobytes() for x in sets], pa.binary())]
+            yield pa.RecordBatch.from_arrays(made, ["fp", "root", "size", "shingles"])
+
+    found = bodies.join(candidates, "uid").select("fp", "root", F.col("body").cast("binary").alias("body"))
+    sets = materialise(found.mapInArrow(cut, "fp long, root long, size long, shingles binary").dropDuplicates(["fp"]))
+    totals = sets.groupBy("root").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("size")).where(F.col("n") > 1)
+    parts = F.greatest(F.ceil(F.col("n") / F.lit(members)), F.ceil(F.col("size") / F.lit(most)), F.lit(1))
+    totals = totals.select("root", F.least(parts, F.col("n")).cast("int").alias("parts"))
+    rows = sets.join(totals, "root").withColumn("own", F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int"))
+    pairs = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda j: F.struct(F.least(j, F.col("own")).alias("i"), F.greatest(j, F.col("own")).alias("j")))
+    group = ["root", "i", "j"]
+    rows = rows.select("root", F.explode(pairs).alias("p"), "fp", "shingles").select("root", "p.i", "p.j", "fp", "shingles")
+    dealt = rows.repartition(many(sets), *group).sortWithinPartitions(*group, "fp")
+
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, fps, held = None, [], []
+
+        def edges() -> pa.RecordBatch:
+            a, b = similar_forest(np.array(fps, dtype=np.int64), held, similarity)
+            return pa.RecordBatch.from_arrays([longs(a), longs(b)], ["a", "b"])
+
+        for root, i, j, fp, shingles in rows_of(batches, *group, "fp", "shingles"):
+            if (root, i, j) != at:
+                if len(fps) > 1:
+                    yield edges()
+                at, fps, held = (root, i, j), [], []
+            fps.append(fp)
+            held.append(np.frombuffer(shingles, dtype=np.uint64))
+        if len(fps) > 1:
+            yield edges()
+
+    return dealt.mapInArrow(link, "a long, b long")
+
+
+def similar_forest(fps: np.ndarray, sets: list[np.ndarray], similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Edges of a spanning forest of the pairs of sets with this Jaccard similarity at least."""
+    sizes = np.array([len(x) for x in sets], dtype=np.int64)
+    names, flat = np.unique(np.concatenate(sets), return_inverse=True)
+    numbers = np.split(flat, np.cumsum(sizes)[:-1])
+    marked = np.zeros(len(names), dtype=bool)
+    rest = np.arange(len(sets))
+    a, b, queue = [], [], []
+    while len(rest):
+        if not queue:
+            queue, rest = [rest[0]], rest[1:]
+        x = queue.pop()
+        able = np.minimum(sizes[rest], sizes[x]) >= similarity * np.maximum(sizes[rest], sizes[x]) - 1e-9
+        marked[numbers[x]] = True
+        common = np.array([np.count_nonzero(marked[numbers[y]]) for y in rest[able]], dtype=np.int64)
+        marked[numbers[x]] = False
+        close = np.zeros(len(rest), dtype=bool)
+        close[able] = common >= similarity * (sizes[x] + sizes[rest[able]] - common) - 1e-9
+        if close.any():
+            got, rest = rest[close], rest[~close]
+            a.append(np.full(len(got), fps[x]))
+            b.append(fps[got])
+            queue.extend(got.tolist())
+    none = np.zeros(0, dtype=np.int64)
+    return (np.concatenate(a), np.concatenate(b)) if a else (none, none)
+
+
 def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, similarity: float = SIMILARITY) -> DataFrame:
     """``uid, id, fp, root``: near-duplicate groups of whole documents by SimHash.
 
-    Documents link if the 256-bit SimHash of their distinct ``words``-word shingles differs in no
-    more bits than sets of Jaccard ``similarity`` do on average. The number of bits varies by six or
-    so, which is why the default lies below 0.8: of pairs at 0.8 it takes 19 in 20. That many bits are too many to choose
-    blocks from, so documents meet by ``MEET_BLOCKS`` blocks of ``MEET_WIDTH`` bits of a longer SimHash of the same
+    Documents link if the Jaccard similarity of their distinct ``words``-word shingles is ``similarity`` or
+    more, and a group is what links connect; ``fp`` is a hash of the shingles. SimHash finds the
+    candidates: documents whose first 256 bits differ in no more than sets of ``LOOSE`` times the
+    similarity do on average, so some five standard deviations above the bits of a pair at 0.8, and all that these
+    connect. Links between candidates are exact.
+
+    Candidates meet by ``MEET_BLOCKS`` blocks of ``MEET_WIDTH`` bits of a longer SimHash of the same
     shingles. Sets of Jaccard 0.8 differ in 15 % of its bits wherever the edits are, scattered or in one passage, so
     1 - (1 - 0.85 ** 16) ** 62 or 99 in 100 such pairs meet. In texts of ``SHORT`` shingles or fewer single bits vary
-    more; they also meet by their smallest shingles, of which two sets of Jaccard ``LEAST`` surely share one.
+    more; they also meet by their smallest shingles, of which two sets that similar surely share one.
     """
     schema = "uid long, id long, fp long, bits binary, blocks array<int>, first array<long>"
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wide = Wide(words)
+        wide = Wide(words, similarity)
         for batch in batches:
             made, fps = [], []
             for (t,) in rows_of([batch], "body"):
@@ -272,10 +350,12 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", wor
             )
 
     rows = materialise(texts(docs, key, text).select("uid", "id", F.col("body").cast("binary").alias("body")).mapInArrow(work, schema))
-    distinct = materialise(rows.groupBy("fp").agg(*[F.first(c).alias(c) for c in ("bits", "blocks", "first")]))
+    distinct = materialise(rows.groupBy("fp").agg(*[F.first(c).alias(c) for c in ("bits", "blocks", "first")], F.min("uid").alias("uid")))
     keyed = distinct.select("fp", F.posexplode("blocks").alias("mask", "part")).select("fp", "mask", F.col("part").cast("long").alias("part"))
     keyed = keyed.unionByName(distinct.select("fp", F.lit(-1).alias("mask"), F.explode("first").alias("part")))
-    roots = components(bucket_links(keyed, distinct.select("fp", "bits"), bits_apart(similarity, 64 * JUDGE_LANES), BUCKET))
+    loose = components(bucket_links(keyed, distinct.select("fp", "bits"), bits_apart(LOOSE * similarity, 64 * JUDGE_LANES), BUCKET))
+    candidates = distinct.select("fp", "uid").join(loose, F.col("fp") == F.col("node")).select("fp", "uid", "root")
+    roots = components(exact_links(texts(docs, key, text), materialise(candidates), words, similarity))
     return rows.select("uid", "id", "fp").join(roots, F.col("fp") == F.col("node"), "left").select("uid", "id", "fp", F.coalesce("root", "fp").alias("root"))
 
 
