@@ -20,7 +20,7 @@ from lodgecurve.llm import mixing, packing, simhash, suffix_dedup, toxicity
 from lodgecurve.operators.scale import materialise
 
 QUALITY = "CASE quality WHEN 1 THEN 'high' WHEN 0 THEN 'low' END"
-SHARES = {"high": 0.875, "low": 0.125}
+SHARES = {"high": 0.80, "low": 0.20}  # of the labelled words 0.87 and 0.13, so low ones come about twice
 BUDGET = 1.25
 
 

@@ -118,3 +118,20 @@ def test_pipeline_end_to_end(spark, tmp_path):
 def test_registered_queries():
     numbers = sorted(int(n[2:].split("_")[0]) for n in QUERIES)
     assert numbers == list(range(1, 11)) and set(ORACLE) <= set(QUERIES)
+
+
+def test_pipeline_targets_move_the_mix_and_can_be_reached():
+    import pyarrow.parquet as pq
+
+    import corpus_pipeline
+
+    folder = "/root/testdata/sf0.01"
+    quality = dict(zip(*pq.read_table(f"{folder}/labels.parquet", columns=["doc_id", "quality"]).to_pydict().values()))
+    docs = pq.read_table(f"{folder}/documents.parquet", columns=["doc_id", "text"]).to_pydict()
+    words = {"high": 0, "low": 0}
+    for i, text in zip(docs["doc_id"], docs["text"]):
+        if quality.get(i) in (0, 1):
+            words["high" if quality[i] else "low"] += len((text or "").split())
+    for name, n in words.items():
+        share, target = n / sum(words.values()), corpus_pipeline.SHARES[name]
+        assert abs(share - target) > 0.04 and target * corpus_pipeline.BUDGET > share  # rates of one at least
