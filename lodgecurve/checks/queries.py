@@ -18,7 +18,7 @@ from lodgecurve.plans import pricing, training
 from lodgecurve.plans.features import CATEGORIES, prepare_listings
 from lodgecurve.plans.features import feature_dataset as build_feature_dataset
 from lodgecurve.plans.ingest import ingest
-from lodgecurve.schemas import SEGMENT_COLS
+from lodgecurve.schemas import NUMERIC_FEATURES, SEGMENT_COLS
 from lodgecurve.sources import readers, writers
 
 KEY = "listing_key"
@@ -426,7 +426,7 @@ def baseline(listed: DataFrame, with_days: bool = True) -> DataFrame:
     return materialise(demand.with_regimes(base, elastic_rows(listed)))
 
 
-GRID = 25
+GRID = 25  # as the SQL of the queries that take it; the queries named _full_grid have 500
 
 
 def price_grid(spark, sf):
@@ -496,32 +496,48 @@ def optimal_prices_full_grid(spark, sf):
     return rows.select(*SEGMENT_COLS, "grid_index", r("price", 9), r("predicted_occupancy"), r("annual_revenue", 4))
 
 
-def solution_status(spark, sf):
-    _, status = solved(held(spark, sf, *SOLD))
+def solution_status(spark, sf, points=GRID):
+    _, status = solved(held(spark, sf, *SOLD), points)
     return status
 
 
-def lift_report(spark, sf):
-    out = report.lift_report(solved(held(spark, sf, *SOLD))[0])
+def solution_status_full_grid(spark, sf):
+    return solution_status(spark, sf, 500)
+
+
+def lift_report(spark, sf, points=GRID):
+    out = report.lift_report(solved(held(spark, sf, *SOLD), points)[0])
     changes = ["price_change_pct", "occupancy_change_pct", "revenue_lift_pct"]
     money = ["baseline_annual_revenue", "annual_revenue", "revenue_lift"]
     return out.select(*SEGMENT_COLS, "segment_name", *[r(c, 5) for c in changes], *[r(c, 4) for c in money])
 
 
+def lift_report_full_grid(spark, sf):
+    return lift_report(spark, sf, 500)
+
+
 def price_schedule(spark, sf):
     return report.price_schedule(report.lift_report(solved(held(spark, sf, *SOLD), 500)[0]))
 
 
-def portfolio_kpis(spark, sf):
-    out = report.portfolio_kpis(report.lift_report(solved(held(spark, sf, *SOLD))[0]))
+def portfolio_kpis(spark, sf, points=GRID):
+    out = report.portfolio_kpis(report.lift_report(solved(held(spark, sf, *SOLD), points)[0]))
     return out.select("city", *[r(c, 4) for c in out.columns if c != "city"])
 
 
-def weekend_premium(spark, sf):
-    out = report.weekend_premium(report.lift_report(solved(held(spark, sf, *SOLD))[0]))
+def portfolio_kpis_full_grid(spark, sf):
+    return portfolio_kpis(spark, sf, 500)
+
+
+def weekend_premium(spark, sf, points=GRID):
+    out = report.weekend_premium(report.lift_report(solved(held(spark, sf, *SOLD), points)[0]))
     return out.select("city", "best_segment", *[r(c, 5) for c in ("weekend_price", "weekday_price", "premium_pct", "best_lift_pct")])
 
 
+def weekend_premium_full_grid(spark, sf):
+    return weekend_premium(spark, sf, 500)
+
+
 def business_summary(spark, sf):
     listed = held(spark, sf, *PROFILED)
     chosen = report.lift_report(solved(listed, 500)[0])
@@ -530,18 +546,21 @@ def business_summary(spark, sf):
 
 # --- models ----------------------------------------------------------------------------
 
-INPUTS = [
-    "listing_price", "person_capacity", "quality_score", "price_per_person", "city_center_dist", "metro_dist",
-    "n_bookings", "is_weekend",
-]
-TREES = 10
+def _prepared(spark, sf):
+    """Prepared listings, elasticities, categories, and the names of the full feature set."""
+    raw = held(spark, sf)
+    fitted = encoding.fit_categories(segments.listing_features(raw), CATEGORIES)
+    rows = elastic_rows(raw)
+    listed = materialise(prepare_listings(raw, rows, categories=fitted)[0])
+    return listed, rows, fitted, training.input_names(fitted)
 
 
-def model_rows(spark, sf) -> tuple[DataFrame, DataFrame]:
-    """Train and test rows with assembled features, written once for repeated passes."""
-    rows = materialise(cleaning.labelled(features(spark, sf)).select(KEY, "label", *INPUTS))
+def model_rows(spark, sf) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Train and test rows with assembled features, written once for repeated passes, and the features' names."""
+    listed, _, _, names = _prepared(spark, sf)
+    rows = materialise(cleaning.labelled(listed).select(KEY, "label", *names))
     train, test = splits.hash_split(rows, [KEY])
-    return learning.assemble(train, INPUTS), learning.assemble(test, INPUTS)
+    return learning.assemble(train, names), learning.assemble(test, names), names
 
 
 SCALED = ["listing_price", "quality_score", "price_per_person"]
@@ -576,44 +595,39 @@ def log_scale_metrics(spark, sf):
 
 
 def gbt_scores(spark, sf):
-    train, test = model_rows(spark, sf)
-    model = learning.boosted_trees(trees=TREES).fit(train)
-    return learning.score(test.drop("features_unscaled"), model, INPUTS).select(KEY, "label", "predicted_occupancy")
+    train, test, names = model_rows(spark, sf)
+    model = learning.boosted_trees().fit(train)
+    return learning.score(test.drop("features_unscaled"), model, names).select(KEY, "label", "predicted_occupancy")
 
 
 def forest_scores(spark, sf):
-    train, test = model_rows(spark, sf)
-    model = learning.random_forest(trees=TREES).fit(train)
-    return learning.score(test.drop("features_unscaled"), model, INPUTS).select(KEY, "label", "predicted_occupancy")
+    train, test, names = model_rows(spark, sf)
+    model = learning.random_forest().fit(train)
+    return learning.score(test.drop("features_unscaled"), model, names).select(KEY, "label", "predicted_occupancy")
 
 
 def model_ranking(spark, sf):
     """Linear, boosted, forest and network models ranked on held-out listings."""
-    df = features(spark, sf).withColumn("listing_id", F.col(KEY))
-    numeric = [n for n in INPUTS if n != "is_weekend"]
-    quick = mlp.MlpSettings(hidden=(32, 16), dropout=(0.1, 0.1), max_epochs=3, chunks=1)
-    return training.train_models(df, INPUTS, [KEY], numeric, TREES, {"network": quick}).ranking
+    listed, _, _, names = _prepared(spark, sf)
+    networks = {"network": mlp.UNIFORM_PRESET, "network_he_normal": mlp.HE_NORMAL_PRESET}
+    return training.train_models(listed, names, [KEY], networks=networks).ranking
 
 
 def tree_importance(spark, sf):
-    train, _ = model_rows(spark, sf)
-    return learning.tree_importance(spark, learning.boosted_trees(trees=TREES).fit(train), INPUTS)
-
-
-NET = mlp.MlpSettings(max_epochs=3, chunks=2)
-
-
-NET_COLUMNS = [KEY, *SEGMENT_COLS, *segments.PROFILE_MEDIANS.values(), "n_bookings", "occupancy_rate"]
+    train, _, names = model_rows(spark, sf)
+    return learning.tree_importance(spark, learning.boosted_trees().fit(train), names)
 
 
 def _network(spark, sf) -> tuple[DataFrame, mlp.Mlp]:
     """A network trained on standardised inputs, and the held-out rows."""
-    train, test = splits.hash_split(held_features(spark, sf, *NET_COLUMNS).withColumn("label", F.col("occupancy_rate")), [KEY])
-    numeric = [n for n in INPUTS if n != "is_weekend"]
+    listed, _, _, names = _prepared(spark, sf)
+    train, test = splits.hash_split(materialise(cleaning.labelled(listed).select(KEY, "label", *names)), [KEY])
+    numeric = [n for n in names if n in set(NUMERIC_FEATURES)]
+    train, test = (p.fillna(0.0, numeric) for p in (train, test))
     scaler = learning.fit_scaler(train, numeric)
     train, test = (learning.scaled_columns(scaler.transform(p), numeric) for p in (train, test))
-    names = [f"{n}_scaled" for n in numeric] + ["is_weekend"]
-    return test.select(KEY, "label", *names), mlp.train_mlp(train, test, names, [KEY], settings=NET)
+    inputs = [f"{n}_scaled" for n in numeric] + [n for n in names if n not in set(numeric)]
+    return test.select(KEY, "label", *inputs), mlp.train_mlp(train, test, inputs, [KEY], settings=mlp.UNIFORM_PRESET)
 
 
 def mlp_scores(spark, sf):
@@ -632,15 +646,15 @@ def weight_importance(spark, sf):
 
 
 def permutation_importance(spark, sf):
-    train, test = model_rows(spark, sf)
-    model = learning.boosted_trees(trees=5).fit(train)
-    rows = test.select("label", F.array(*[F.col(c).cast("double") for c in INPUTS]).alias("features"))
+    train, test, names = model_rows(spark, sf)
+    model = learning.boosted_trees().fit(train)
+    rows = test.select("label", F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in names]).alias("features"))
     vector = model.getFeaturesCol()
 
     def score(df):
         return model.transform(df.withColumn(vector, array_to_vector("features")))
 
-    return importance.permutation_importance(rows, INPUTS, score, repeats=2)
+    return importance.permutation_importance(rows, names, score)
 
 
 def prepared_listings(spark, sf):
@@ -655,13 +669,9 @@ def prepared_listings(spark, sf):
 
 def _pricing_inputs(spark, sf):
     """Prepared listings, elasticities, and a boosted model on the full feature set."""
-    raw = held(spark, sf)
-    fitted = encoding.fit_categories(segments.listing_features(raw), CATEGORIES)
-    rows = elastic_rows(raw)
-    listed = materialise(prepare_listings(raw, rows, categories=fitted)[0])
-    names = training.input_names(fitted)
+    listed, rows, fitted, names = _prepared(spark, sf)
     train = learning.assemble(cleaning.labelled(listed).select("label", *names), names)
-    model = learning.boosted_trees(trees=TREES).fit(train)
+    model = learning.boosted_trees().fit(train)
     return listed, rows, model, names, fitted
 
 

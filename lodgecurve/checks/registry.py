@@ -16,7 +16,7 @@ price_bins segment_ols breakpoint_search slope_classes elasticity_json elasticit
 hash_split three_way_split chunk_split top_k hash_sample_topn random_topn season_order bernoulli_sample
 representative_property price_grid reprice_features reprice_features_serving demand_curve annual_revenue
 optimal_prices optimal_prices_full_grid solution_status lift_report price_schedule portfolio_kpis weekend_premium
-business_summary
+solution_status_full_grid lift_report_full_grid portfolio_kpis_full_grid weekend_premium_full_grid business_summary
 standardise linear_fit regression_metrics log_scale_metrics gbt_scores forest_scores model_ranking tree_importance
 mlp_scores gradient_importance weight_importance permutation_importance baseline_scores recommended_prices
 prepared_listings ingest_csv elasticity_files segment_frame preview
