@@ -52,14 +52,26 @@ def bare(url: Column) -> Column:
 
 
 def absolute(url: Column, link: Column) -> Column:
-    """``link`` as found on the page ``url``, resolved where it is relative to the scheme or the host."""
+    """``link`` as found on the page ``url``, resolved where it is relative to the scheme, the host, the path or the page."""
     scheme = F.regexp_extract(url, r"(?s)\A([^:/?#]*):", 1)
     site = F.concat(scheme, F.lit("://"), host(url))
     link = F.trim(F.replace(link, F.lit("&amp;"), F.lit("&")))
+    folder = F.regexp_extract(F.when(path(url) == "", F.lit("/")).otherwise(path(url)), r"(?s)\A(.*/)", 1)
+    tail = F.regexp_extract(link, r"(?s)([?#].*)\z", 1)
+    steps = F.split(F.concat(folder, F.regexp_extract(link, r"(?s)\A([^?#]*)", 1)), "/")
+    walked = F.aggregate(
+        F.slice(steps, 2, F.size(steps)), F.array().cast("array<string>"),
+        lambda done, x: F.when(x == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0)))).when(x == ".", done).otherwise(F.concat(done, F.array(x))),
+    )
+    ends = F.when(F.element_at(steps, -1).isin(".", ".."), F.lit("/")).otherwise(F.lit(""))
     return (
-        F.when(F.instr(link, "://") > 0, link)
+        F.when(F.rlike(link, F.lit(r"\A[A-Za-z][A-Za-z0-9+.-]*://")), link)
         .when(link.startswith("//"), F.concat(scheme, F.lit(":"), link))
         .when(link.startswith("/"), F.concat(site, link))
+        .when((link == "") | F.rlike(link, F.lit(r"\A[A-Za-z][A-Za-z0-9+.-]*:")) | (host(url) == ""), F.lit(None))
+        .when(link.startswith("?"), F.concat(site, path(url), link))
+        .when(link.startswith("#"), url)
+        .otherwise(F.concat(site, F.lit("/"), F.array_join(walked, "/"), ends, tail))
     )
 
 
@@ -67,8 +79,7 @@ def html_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
     """Edges ``a, b`` from a page's url to its canonical link and to where it refreshes to.
 
     Reads ``<link rel=canonical href=...>`` and ``<meta http-equiv=refresh content="...url=...">``
-    with attributes in any order and quotes of either kind or none. Relative links that start
-    neither with ``/`` nor with a scheme are left out.
+    with attributes in any order and quotes of either kind or none. ``<base href>`` is not read.
     """
     page, body = F.col(quoted(url)), F.col(quoted(html))
     attribute = lambda tag, name: F.regexp_extract(tag, rf"(?is)\s{name}\s*=\s*[\"']?([^\"'>]*)", 1)

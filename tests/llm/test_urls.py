@@ -75,3 +75,15 @@ def test_only_builtin_functions_run(spark, tmp_path):
     spark.createDataFrame([(1, "http://a.net/", "<p>")], "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
     plan = urls.op3_urls(spark, str(tmp_path))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+def test_links_relative_to_the_page(spark):
+    page = "http://A.io/d/e/p.html?x=1"
+    want = {
+        "index.html": "http://a.io/d/e/index.html", "?id=3": "http://a.io/d/e/p.html?id=3", "../q?u=/v/w": "http://a.io/d/q?u=/v/w", "./": "http://a.io/d/e/",
+        "/out?u=http://x.net/": "http://a.io/out?u=http://x.net/", "out?u=http://x.net/": "http://a.io/d/e/out?u=http://x.net/",
+        "http://b.io/": "http://b.io/", "//c.io/": "http://c.io/", "mailto:a@b.io": None, "": None,
+    }
+    df = spark.createDataFrame([(page, link) for link in want], "url string, link string")
+    got = {r.link: r.b for r in df.select("link", urls.absolute(urls.F.col("url"), urls.F.col("link")).alias("b")).collect()}
+    assert got == want
