@@ -24,6 +24,9 @@ separate texts, and other columns of any name are ignored.
 from __future__ import annotations
 
 import hashlib
+import json
+import os
+import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -35,7 +38,7 @@ from pyspark.sql import functions as F
 from lodgecurve.llm.common import longs, many, rows_of, texts
 from lodgecurve.operators.scale import join_measured, materialise
 
-PIECE = 1 << 14
+PIECE = 1 << 16
 TOGETHER = 32
 SHIFT = 32
 
@@ -50,21 +53,59 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}
 
 
+# Fixed value: how a byte-level vocabulary of this kind splits a text before merging.
+SPLIT = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
 class ByteLevel:
-    """A byte-level vocabulary of the ``tokenizers`` library; strings of special tokens are plain text."""
+    """A byte-level vocabulary file of the ``tokenizers`` library; strings of special tokens are plain text.
+
+    Texts of common characters go to ``tiktoken``, which merges by the same vocabulary in a quarter
+    of the time. Others, whose characters two Unicode tables might class differently, and very long
+    words go to ``tokenizers`` itself, as all do where the vocabulary is not in the order of its merges.
+    """
+
+    COMMON = re.compile("[\t\n\r -~\u00a1-\u017f]*")
+    LONG = 500
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs as many tasks as there are cores
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         letters = byte_letters()
         self.spelt: list[bytes] = [b""] * self.tokenizer.get_vocab_size(with_added_tokens=True)
         for token, i in self.tokenizer.get_vocab(with_added_tokens=True).items():
             self.spelt[i] = bytes(letters[c] for c in token) if all(c in letters for c in token) else token.encode()
+        self.quick = self.merging(path)
+
+    def merging(self, path: str):
+        """The same vocabulary for ``tiktoken``, if merges come in the order of the ids they make."""
+        import tiktoken
+
+        with open(path, encoding="utf-8") as file:
+            model = json.load(file)
+        split = model["pre_tokenizer"] or {}
+        merges = [m if isinstance(m, str) else " ".join(m) for m in model["model"]["merges"]]
+        ids = [self.tokenizer.token_to_id(m.replace(" ", "")) for m in merges]
+        plain = split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space")
+        if model["normalizer"] is not None or not plain or ids != list(range(256, 256 + len(ids))) or model["model"].get("ignore_merges"):
+            return None
+        ranks = {self.spelt[i]: i for i in range(256 + len(ids))}
+        return tiktoken.Encoding("vocabulary", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
 
     def __call__(self, batch: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast([" " + t for t in batch], add_special_tokens=False)]
+        out: list = [None] * len(batch)
+        rest = []
+        for at, text in enumerate(batch):
+            if self.quick and self.COMMON.fullmatch(text) and max(map(len, text.split()), default=0) <= self.LONG:
+                out[at] = self.quick.encode_ordinary(" " + text)
+            else:
+                rest.append(at)
+        for at, e in zip(rest, self.tokenizer.encode_batch_fast([" " + batch[k] for k in rest], add_special_tokens=False)):
+            out[at] = e.ids
+        return out
 
 
 class Pieces:
@@ -74,10 +115,8 @@ class Pieces:
         import sentencepiece
 
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
-        self.spelt = [
-            bytes([int(self.model.id_to_piece(i)[3:5], 16)]) if self.model.is_byte(i) else self.model.id_to_piece(i).replace("▁", " ").encode()
-            for i in range(self.model.get_piece_size())
-        ]
+        names = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
+        self.spelt = [bytes([int(n[3:5], 16)]) if self.model.is_byte(i) else n.replace("▁", " ").encode() for i, n in enumerate(names)]
 
     def __call__(self, batch: list[str]) -> list[list[int]]:
         return self.model.encode(batch, num_threads=1)
@@ -90,16 +129,16 @@ def loaded(kind: type, path: str):
 
 
 class Spelling:
-    """Encodes texts and gives the ids with their end offsets, where the tokens spell the text out."""
+    """Encodes texts and gives the ids with their end offsets, where the tokens spell a space and the text."""
 
     def __init__(self, tokenizer) -> None:
         self.tokenizer, self.sizes = tokenizer, np.array([len(b) for b in tokenizer.spelt], dtype=np.int64)
 
-    def __call__(self, batch: list[str], wanted: list[bytes]) -> list[tuple[np.ndarray, np.ndarray] | None]:
+    def __call__(self, bodies: list[str]) -> list[tuple[np.ndarray, np.ndarray] | None]:
         out: list[tuple[np.ndarray, np.ndarray] | None] = []
         spelt = self.tokenizer.spelt
-        for ids, body in zip(self.tokenizer(batch), wanted):
-            if b"".join(map(spelt.__getitem__, ids)) != body:
+        for text, ids in zip(bodies, self.tokenizer(bodies)):
+            if b"".join(map(spelt.__getitem__, ids)) != b" " + text.encode():
                 out.append(None)
                 continue
             held = np.array(ids, dtype=np.int64)
@@ -198,10 +237,21 @@ class Stitched:
 
 ENDS = "head_a array<long>, head_b array<long>, tail_a array<long>, tail_b array<long>, body string, size_a long, size_b long"
 FOUND = "no long, id long, n_a long, n_b long, n_groups long, digest string, pairs array<long>, times array<long>"
-WAITING = "piece long, ids_a binary, ends_a binary, ids_b binary, ends_b binary"
+WAITING = "piece long, from_a long, ids_a binary, sizes_a binary, from_b long, ids_b binary, sizes_b binary"
 LIST = pa.list_(pa.int64())
 
 
+def narrow(ids: np.ndarray, sizes: np.ndarray, start: int) -> tuple[int, bytes, bytes]:
+    """Tokens of a piece to be sent: the offset they start at, ids and sizes in as few bytes as the vocabulary allows."""
+    return int(start), ids.astype(np.min_scalar_type(len(sizes))).tobytes(), sizes[ids].astype(np.min_scalar_type(sizes.max())).tobytes()
+
+
+def widened(start: int, ids: bytes, lengths: bytes, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and end offsets of a piece that ``narrow`` made."""
+    held = np.frombuffer(ids, dtype=np.min_scalar_type(len(sizes))).astype(np.int64)
+    return held, start + np.cumsum(np.frombuffer(lengths, dtype=np.min_scalar_type(sizes.max())), dtype=np.int64)
+
+
 def encoded(docs: DataFrame, first: Callable, second: Callable, size: int = PIECE) -> DataFrame:
     """Every text, aligned if its merge is one piece, else one row for each piece that is still to be aligned.
 
@@ -214,15 +264,15 @@ def encoded(docs: DataFrame, first: Callable, second: Callable, size: int = PIEC
         for batch in batches:
             for at in range(0, batch.num_rows, TOGETHER):
                 rows = list(rows_of([batch.slice(at, TOGETHER)], "no", "id", "body"))
-                wanted = [b" " + t.encode() if t else b"" for _, _, t in rows]
                 bodies = [t for _, _, t in rows]
-                yield packed_rows(rows, spell_a(bodies, wanted), spell_b(bodies, wanted), lines)
+                yield packed_rows(rows, spell_a(bodies), spell_b(bodies), spell_a.sizes, spell_b.sizes, lines)
 
-    def packed_rows(rows, many_a, many_b, lines: Lines) -> pa.RecordBatch:
+    def packed_rows(rows, many_a, many_b, sizes_a, sizes_b, lines: Lines) -> pa.RecordBatch:
         out: list[tuple] = []
+        none = [None] * 7
         for (no, id_, body), one, other in zip(rows, many_a, many_b):
             if not body or one is None or other is None:
-                out.append((no, id_, 0, 0, 0, "", [], [], None, None, None, None, None))
+                out.append((no, id_, 0, 0, 0, "", [], [], *none))
                 continue
             (a, a_ends), (b, b_ends) = one, other
             parts = pieces_of(a_ends, b_ends, size)
@@ -231,12 +281,12 @@ def encoded(docs: DataFrame, first: Callable, second: Callable, size: int = PIEC
                 got = aligned(a, a_ends, b, b_ends, lines)
                 text.add(got["cuts"], got["head"], got["body"], got["tail"], (len(a), len(b)))
                 pairs, times = np.unique(got["links"], return_counts=True)
-                out.append((no, id_, *text.row(), pairs, times, None, None, None, None, None))
+                out.append((no, id_, *text.row(), pairs, times, *none))
                 continue
             for number, (i, k, j, m) in enumerate(parts):
-                raw = (a[i:k], a_ends[i:k], b[j:m], b_ends[j:m])
-                out.append((no, id_, None, None, None, None, None, None, number, *(x.tobytes() for x in raw)))
-        kinds = [pa.int64()] * 5 + [pa.string(), LIST, LIST, pa.int64()] + [pa.binary()] * 4
+                one, other = narrow(a[i:k], sizes_a, a_ends[i - 1] if i else 0), narrow(b[j:m], sizes_b, b_ends[j - 1] if j else 0)
+                out.append((no, id_, None, None, None, None, None, None, number, *one, *other))
+        kinds = [pa.int64()] * 5 + [pa.string(), LIST, LIST, pa.int64()] + [pa.int64(), pa.binary(), pa.binary()] * 2
         names = [c.split()[0] for c in f"{FOUND}, {WAITING}".split(", ")]
         return pa.RecordBatch.from_arrays([pa.array([o[c] for o in out], kind) for c, kind in enumerate(kinds)], names)
 
@@ -244,15 +294,17 @@ def encoded(docs: DataFrame, first: Callable, second: Callable, size: int = PIEC
     return numbered.mapInArrow(work, f"{FOUND}, {WAITING}")
 
 
-def pieces_aligned(waiting: DataFrame, width: int) -> DataFrame:
+def pieces_aligned(waiting: DataFrame, sizes_a: np.ndarray, sizes_b: np.ndarray) -> DataFrame:
     """Each piece, dealt over all tasks, with its inner groups, open ends and links."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lines = Lines(width)
+        lines = Lines(max(len(sizes_a), len(sizes_b)))
         names = [c.split()[0] for c in f"no long, id long, piece long, cuts long, {ENDS}, pairs array<long>, times array<long>".split(", ")]
         kinds = [pa.int64()] * 4 + [LIST] * 4 + [pa.string(), pa.int64(), pa.int64(), LIST, LIST]
-        for no, id_, piece, *raw in rows_of(batches, "no", "id", "piece", "ids_a", "ends_a", "ids_b", "ends_b"):
-            a, a_ends, b, b_ends = (np.frombuffer(x, dtype=np.int64) for x in raw)
+        sent = ("from_a", "ids_a", "sizes_a", "from_b", "ids_b", "sizes_b")
+        for no, id_, piece, *raw in rows_of(batches, "no", "id", "piece", *sent):
+            a, a_ends = widened(*raw[:3], sizes_a)
+            b, b_ends = widened(*raw[3:], sizes_b)
             got = aligned(a, a_ends, b, b_ends, lines)
             pairs, times = np.unique(got["links"], return_counts=True)
             row = (no, id_, piece, got["cuts"], *got["head"], *got["tail"], got["body"], len(a), len(b), pairs, times)
@@ -292,15 +344,15 @@ def alignments(
 ) -> tuple[DataFrame, DataFrame]:
     """Per row of ``docs`` its numbers, and the table ``pair, n, best`` of all linked pairs of ids.
 
-    ``first`` and ``second`` make a tokenizer in a task: callable on a list of texts, giving a list of
-    ids for each, with the bytes of every token in ``spelt``; A is given a space before the text by
-    its class, B adds one. A pair is ``id of A << 32 | id of B``; ``best`` says that no pair of that
+    ``first`` and ``second`` make a tokenizer in a task (``ByteLevel`` and ``Pieces`` are such): a call on
+    texts gives the ids of each, which spell a space and the text; ``spelt`` has the bytes of every
+    token. A pair is ``id of A << 32 | id of B``; ``best`` says that no pair of that
     id of B occurs more often. ``limit`` is the size up to which the table is broadcast.
     """
     rows = materialise(encoded(texts(docs, key, text), first, second, size))
     waiting, ready = rows.where(F.col("piece").isNotNull()), rows.where(F.col("piece").isNull())
-    width = max(len(first().spelt), len(second().spelt))
-    pieces = materialise(pieces_aligned(waiting, width))
+    sizes = [np.array([len(x) for x in make().spelt], dtype=np.int64) for make in (first, second)]
+    pieces = materialise(pieces_aligned(waiting, *sizes))
     linked = ready.select("no", "pairs", "times").unionByName(pieces.select("no", "pairs", "times"))
     linked = linked.select("no", F.explode(F.arrays_zip("pairs", "times")).alias("l")).select("no", F.col("l.pairs").alias("pair"), F.col("l.times").alias("times"))
 

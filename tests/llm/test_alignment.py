@@ -15,9 +15,9 @@ A, B = public(ByteLevel, "byte_bpe_50k.json"), public(Pieces, "piece_bpe_32k.mod
 
 
 def tokens(maker, text):
-    """Ids and the bytes of each token, from the libraries' own words for them."""
+    """Ids and bytes of the tokens of a whole text, from the library itself."""
     t = maker()
-    ids = t([text])[0]
+    ids = t.tokenizer.encode(" " + text, add_special_tokens=False).ids if maker is A else t.model.encode(text)
     return ids, [t.spelt[i] for i in ids]
 
 
@@ -87,6 +87,24 @@ def test_the_pair_table_beyond_the_broadcast(spark):
     assert found(frame(spark, data), limit=-1) == sorted(expected(data), key=str)
 
 
+@pytest.mark.parametrize("maker", [A, B])
+def test_quick_ways_change_no_token(maker):
+    r = random.Random(4)
+    parts = [" ", "  ", "\n", "\t ", " the", "word", "'s", "'ll", "Ünï", "ß", "ſ", "×", "µ", "日本", "🙂", "e\u0301", "\u00a0", "\x1c", "12", "3", ".", " --", "▁", "<s>", "<0x41>", "\x7f", "ĳ", "ª", "ﬁ"]
+    texts = ["".join(r.choice(parts) for _ in range(r.randint(1, 30))) for _ in range(4000)] + [t for _, t in AWKWARD]
+    spelling = alignment.Spelling(maker())
+    for at in range(0, len(texts), 50):
+        for text, got in zip(texts[at : at + 50], spelling(texts[at : at + 50])):
+            ids, spelt = tokens(maker, text)
+            assert (got is None) == (b"".join(spelt) != b" " + text.encode())
+            assert got is None or got[0].tolist() == ids and got[1].tolist() == np.cumsum([len(x) for x in spelt]).tolist()
+
+
+def test_the_quick_way_is_taken():
+    t = A()
+    assert t.quick is not None and t.COMMON.fullmatch(prose(1, 50)) and not t.COMMON.fullmatch("日本")
+
+
 def test_crossings_cut_the_merge_evenly():
     r = random.Random(1)
     for _ in range(300):
