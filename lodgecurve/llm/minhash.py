@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from lodgecurve.llm.common import column, longs, many, rows_of, signed, texts
 from lodgecurve.llm.components import components
 from lodgecurve.llm.windows import gram_hashes, mixed
-from lodgecurve.operators.scale import materialise
+from lodgecurve.operators.scale import join_measured, materialise
 
 HASHES = 128
 ROWS = 5
@@ -149,26 +149,27 @@ def signatures(docs: DataFrame, key: str = "doc_id", text: str = "text", words:
     return bodies.mapInArrow(work, "uid long, id long, n long, fp long, bits binary, bands array<long>")
 
 
-def forest(n: int, close) -> list[tuple[int, np.ndarray]]:
-    """A spanning forest of links among ``n`` things: ``close(x, rest)`` tells which of ``rest`` link with ``x``."""
-    rest, found, queue = np.arange(n), [], []
+def forest(n: int, close) -> np.ndarray:
+    """Which tree of a spanning forest of links each of ``n`` things is in: ``close(x, rest)`` tells which of ``rest`` link with ``x``."""
+    rest, tree, queue, trees = np.arange(n), np.zeros(n, dtype=np.int64), [], -1
     while len(rest):
         if not queue:
+            trees += 1
             queue, rest = [rest[0]], rest[1:]
-        x = queue.pop()
-        hit = close(x, rest)
+            tree[queue[0]] = trees
+        hit = close(queue.pop(), rest)
         if hit.any():
             got, rest = rest[hit], rest[~hit]
-            found.append((x, got))
+            tree[got] = trees
             queue.extend(got.tolist())
-    return found
+    return tree
 
 
-def edges(names: np.ndarray, found: list[tuple[int, np.ndarray]]) -> pa.RecordBatch:
-    a = [np.full(len(got), names[x]) for x, got in found]
-    b = [names[got] for _, got in found]
-    none = [np.zeros(0, dtype=np.int64)]
-    return pa.RecordBatch.from_arrays([longs(np.concatenate(a or none)), longs(np.concatenate(b or none))], ["a", "b"])
+def stars(names: np.ndarray, tree: np.ndarray) -> pa.RecordBatch:
+    """``a, b``: the smallest name of its tree for every name."""
+    least = np.full(tree.max(initial=-1) + 1, np.iinfo(np.int64).max)
+    np.minimum.at(least, tree, names)
+    return pa.RecordBatch.from_arrays([longs(least[tree]), longs(names)], ["a", "b"])
 
 
 def candidates(distinct: DataFrame, similarity: float, bucket: int = BUCKET) -> DataFrame:
@@ -176,8 +177,8 @@ def candidates(distinct: DataFrame, similarity: float, bucket: int = BUCKET) ->
     keyed = materialise(distinct.select("fp", F.posexplode("bands").alias("band", "part")))
     shared = keyed.groupBy("band", "part").agg(F.count(F.lit(1)).alias("n"), F.min("fp").alias("first")).where(F.col("n") > 1)
     shared = materialise(shared)  # its own table, so that the join's hot partitions can be split
-    met = keyed.join(shared, ["band", "part"])
-    stars = met.where((F.col("n") > bucket) & (F.col("fp") != F.col("first"))).select(F.col("first").alias("a"), F.col("fp").alias("b"))
+    met = join_measured(keyed, shared, ["band", "part"], "inner", stored=True)
+    hubs = met.where((F.col("n") > bucket) & (F.col("fp") != F.col("first"))).select(F.col("first").alias("a"), F.col("fp").alias("b"))
     small = materialise(met.where(F.col("n") <= bucket).select("band", "part", "fp"))
     group = ["band", "part"]
     rows = small.join(distinct.select("fp", "bits"), "fp").select(*group, "fp", "bits")
@@ -188,8 +189,7 @@ def candidates(distinct: DataFrame, similarity: float, bucket: int = BUCKET) ->
 
         def linked() -> pa.RecordBatch:
             lanes = np.frombuffer(b"".join(bits), dtype=np.uint64).reshape(len(fps), -1)
-            found = forest(len(fps), lambda x, rest: equal_lanes(lanes[rest], lanes[x]) >= least)
-            return edges(np.array(fps, dtype=np.int64), found)
+            return stars(np.array(fps, dtype=np.int64), forest(len(fps), lambda x, rest: equal_lanes(lanes[rest], lanes[x]) >= least))
 
         for band, part, fp, lane in rows_of(batches, *group, "fp", "bits"):
             if (band, part) != at:
@@ -202,41 +202,45 @@ def candidates(distinct: DataFrame, similarity: float, bucket: int = BUCKET) ->
             yield linked()
 
     dealt = rows.repartition(many(distinct), *group).sortWithinPartitions(*group, "fp")
-    return dealt.mapInArrow(work, "a long, b long").unionByName(stars)
+    return dealt.mapInArrow(work, "a long, b long").unionByName(hubs)
 
 
 def confirmed(sets: DataFrame, percent: int, members: int = MEMBERS, most: int = SHINGLES) -> DataFrame:
     """``node, root`` of what links among the sets (``fp, root, size, bits, shingles``) of each ``root`` connect.
 
-    A link is 100 * intersection >= ``percent`` * union, over whole sets.
+    A link is 100 * intersection >= ``percent`` * union, over whole sets. What stands alone may be a root of its own.
     """
     totals = sets.groupBy("root").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("size")).where(F.col("n") > 1)
     parts = F.greatest(F.ceil(F.col("n") / F.lit(members)), F.ceil(F.col("size") / F.lit(most)), F.lit(1))
     totals = materialise(totals.select("root", F.least(parts, F.col("n")).cast("int").alias("parts")))
     own = F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")
-    rows = sets.join(totals, "root").withColumn("own", own)
-    found = materialise(set_links(rows.withColumn("i", F.col("own")).withColumn("j", F.col("own")), percent))
+    rows = join_measured(sets, totals, ["root"], "inner", stored=True).withColumn("own", own)
+    placed = set_links(rows.withColumn("i", F.col("own")).withColumn("j", F.col("own")), percent)  # whole groups but for wide ones
+    placed = materialise(placed.withColumnsRenamed({"a": "class", "b": "fp"}))
+    classes, found = placed, placed
     wide = totals.where(F.col("parts") > 1)
-    if not wide.isEmpty():
-        for whole in (False, True):  # by one set of each class, then all sets of what is still in several
-            classes = components(found)
-            held = rows.join(wide.select("root"), "root", "left_semi").join(classes.withColumnRenamed("root", "class"), F.col("fp") == F.col("node"), "left")
-            held = held.withColumn("class", F.coalesce("class", "fp")).drop("node")
-            split = materialise(held.groupBy("root").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where(F.col("lo") < F.col("hi")).select("root"))
-            if split.isEmpty():
-                break
-            held = held.join(split, "root")
-            held = held if whole else held.where(F.col("class") == F.col("fp"))
-            pairs = F.transform(
-                F.sequence(F.lit(0), F.col("parts") - 1), lambda j: F.struct(F.least(j, F.col("own")).alias("i"), F.greatest(j, F.col("own")).alias("j"))
-            )
-            met = held.withColumn("p", F.explode(pairs)).withColumn("i", F.col("p.i")).withColumn("j", F.col("p.j"))
-            found = materialise(found.unionByName(set_links(met, percent)))
-    return components(found)
+    if wide.isEmpty():
+        return classes.select(F.col("fp").alias("node"), F.col("class").alias("root"))
+    held = materialise(rows.join(wide.select("root"), "root", "left_semi"))
+    for whole in (False, True):  # by one set of each class, then all sets of what is still in several
+        named = held.join(classes.withColumnRenamed("fp", "node"), F.col("fp") == F.col("node"), "left").withColumn("class", F.coalesce("class", "fp"))
+        split = named.groupBy("root").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where(F.col("lo") < F.col("hi")).select("root")
+        split = materialise(split)
+        if split.isEmpty():
+            break
+        left = join_measured(named if whole else named.where(F.col("class") == F.col("fp")), split, ["root"], "inner", stored=True)
+        pairs = F.transform(
+            F.sequence(F.lit(0), F.col("parts") - 1), lambda j: F.struct(F.least(j, F.col("own")).alias("i"), F.greatest(j, F.col("own")).alias("j"))
+        )
+        met = left.withColumn("p", F.explode(pairs)).withColumn("i", F.col("p.i")).withColumn("j", F.col("p.j"))
+        found = found.unionByName(set_links(met, percent).withColumnsRenamed({"a": "class", "b": "fp"}))
+        classes = materialise(components(found.select(F.col("class").alias("a"), F.col("fp").alias("b"))))
+        classes = classes.select(F.col("node").alias("fp"), F.col("root").alias("class"))
+    return classes.select(F.col("fp").alias("node"), F.col("class").alias("root"))
 
 
 def set_links(rows: DataFrame, percent: int) -> DataFrame:
-    """Edges ``a, b`` that connect linked sets of each group ``root, i, j``."""
+    """``a, b``: the smallest set that links connect a set ``b`` to, for every set of each group ``root, i, j``."""
     group = ["root", "i", "j"]
     least = least_lanes(percent / 100)
 
@@ -244,25 +248,26 @@ def set_links(rows: DataFrame, percent: int) -> DataFrame:
         at, fps, bits, held = None, [], [], []
 
         def linked() -> pa.RecordBatch:
-            return edges(np.array(fps, dtype=np.int64), similar(held, np.frombuffer(b"".join(bits), dtype=np.uint64).reshape(len(fps), -1), percent, least))
+            tree = similar(held, np.frombuffer(b"".join(bits), dtype=np.uint64).reshape(len(fps), -1), percent, least)
+            return stars(np.array(fps, dtype=np.int64), tree)
 
         for root, i, j, fp, lane, shingles in rows_of(batches, *group, "fp", "bits", "shingles"):
             if (root, i, j) != at:
-                if len(fps) > 1:
+                if fps:
                     yield linked()
                 at, fps, bits, held = (root, i, j), [], [], []
             fps.append(fp)
             bits.append(lane)
             held.append(np.frombuffer(shingles, dtype=np.uint64))
-        if len(fps) > 1:
+        if fps:
             yield linked()
 
     dealt = rows.select(*group, "fp", "bits", "shingles").repartition(many(rows), *group).sortWithinPartitions(*group, "fp")
     return dealt.mapInArrow(work, "a long, b long")
 
 
-def similar(sets: list[np.ndarray], lanes: np.ndarray, percent: int, least: int) -> list[tuple[int, np.ndarray]]:
-    """A spanning forest of the sets that link, compared in full where size and signature allow a link."""
+def similar(sets: list[np.ndarray], lanes: np.ndarray, percent: int, least: int) -> np.ndarray:
+    """The tree that each set is in of a spanning forest of links, compared in full where size and signature allow a link."""
     sizes = np.array([len(x) for x in sets], dtype=np.int64)
     names, flat = np.unique(np.concatenate(sets), return_inverse=True)
     numbers = np.split(flat, np.cumsum(sizes)[:-1])
@@ -304,8 +309,7 @@ def minhash_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", wor
 
     found = texts(docs, key, text).join(asked, "uid").select("fp", "root", "bits", F.col("body").cast("binary").alias("body"))
     sets = materialise(found.mapInArrow(cut, "fp long, root long, bits binary, size long, shingles binary").dropDuplicates(["fp"]))
-    roots = components_by(rows, confirmed(sets, percent))
-    return roots
+    return components_by(rows, confirmed(sets, percent))
 
 
 def components_by(rows: DataFrame, roots: DataFrame) -> DataFrame:
