@@ -316,8 +316,8 @@ def components_by(rows: DataFrame, roots: DataFrame) -> DataFrame:
     """``rows`` with their ``root`` and its smallest id; what is in no link is a root of its own."""
     least = rows.where(F.col("fp").isNotNull()).groupBy("fp").agg(F.min("id").alias("least"))
     placed = materialise(least.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root")))
-    lowest = materialise(placed.groupBy("root").agg(F.min("least").alias("lowest")))
-    classes = materialise(placed.join(lowest, "root").select("fp", "root", "lowest"))
+    lowest = placed.groupBy("root").agg(F.min("least").alias("lowest"))
+    classes = materialise(join_measured(placed, lowest, ["root"], "inner").select("fp", "root", "lowest"))
     component = F.when(F.col("fp").isNull(), F.col("id")).otherwise(F.col("lowest")).alias("component")
     return rows.select("uid", "id", "n", "fp").join(classes, "fp", "left").select("uid", "id", "n", "fp", "root", component)
 

@@ -27,21 +27,11 @@ from pyspark.sql import functions as F
 
 from lodgecurve.llm.common import column, longs, many, rows_of, signed, texts, with_rows
 from lodgecurve.llm.components import components
-from lodgecurve.llm.windows import gram_hashes, mixed
-from lodgecurve.operators.scale import materialise
+from lodgecurve.operators.scale import join_measured, materialise
 
 BITS = 64
 BUCKET = 4096
 SEED = 42
-SIMILARITY = 0.8
-LOOSE = 0.6  # of the similarity; candidates are as alike as that by their bits
-MEMBERS = 1024
-SHINGLES = 1 << 20
-JUDGE_LANES = 4
-MEET_LANES = 16
-MEET_BLOCKS = 62
-MEET_WIDTH = 16
-SHORT = 64
 
 
 def fingerprint(text: bytes, words: int) -> int:
@@ -97,59 +87,49 @@ def links(fps: DataFrame, distance: int = 3, blocks: int = 5, bucket: int = BUCK
         F.struct(F.lit(i).alias("mask"), F.col("fp").bitwiseAND(F.lit(int(np.uint64(m).astype(np.int64)))).alias("part"))
         for i, m in enumerate(block_masks(distance, blocks))
     ])
-    return bucket_links(fps.select("fp", F.explode(keys).alias("k")).select("fp", "k.mask", "k.part"), None, distance, bucket)
+    return bucket_links(fps.select("fp", F.explode(keys).alias("k")).select("fp", "k.mask", "k.part"), distance, bucket)
 
 
-def bucket_links(keyed: DataFrame, bits: DataFrame | None, distance: int, bucket: int) -> DataFrame:
-    """Edges ``a, b`` that connect what is within ``distance`` among the rows ``fp`` of each bucket ``mask, part``.
-
-    The distance is that of ``fp`` itself, or of the binary column of ``bits`` (``fp, bits``).
-    """
-    shared = keyed.groupBy("mask", "part").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+def bucket_links(keyed: DataFrame, distance: int, bucket: int) -> DataFrame:
+    """Edges ``a, b`` that connect what is within ``distance`` among the rows ``fp`` of each bucket ``mask, part``."""
+    shared = materialise(keyed.groupBy("mask", "part").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1))
     parts = F.ceil(F.col("n") / F.lit(bucket)).cast("int")
     own = F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")
     # a part meets every part, itself included: the pair (i, j) of parts with i <= j is one group
     pairs = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda j: F.struct(F.least(j, F.col("own")).alias("i"), F.greatest(j, F.col("own")).alias("j")))
-    rows = keyed.join(shared, ["mask", "part"]).withColumn("parts", parts).withColumn("own", own)
-    if bits is not None:
-        rows = rows.join(bits, "fp")
+    rows = join_measured(keyed, shared, ["mask", "part"], "inner", stored=True).withColumn("parts", parts).withColumn("own", own)
     group = ["mask", "part", "i", "j"]
-    rest = ["fp"] if bits is None else ["fp", "bits"]
-    rows = rows.select("mask", "part", F.explode(pairs).alias("p"), *rest).select("mask", "part", "p.i", "p.j", *rest)
+    rows = rows.select("mask", "part", F.explode(pairs).alias("p"), "fp").select("mask", "part", "p.i", "p.j", "fp")
     dealt = rows.repartition(many(keyed), *group).sortWithinPartitions(*group, "fp")
 
-    given = bits is not None
-
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: tuple[np.ndarray, np.ndarray] | None = None
+        held: np.ndarray | None = None
         for batch in batches:
             if not batch.num_rows:
                 continue
             table = np.stack([column(batch, c).to_numpy(zero_copy_only=False).astype(np.int64) for c in (*group, "fp")])
-            values = table[4].view(np.uint64)[:, None]
-            if given:
-                values = np.frombuffer(b"".join(column(batch, "bits").to_pylist()), dtype=np.uint64).reshape(batch.num_rows, -1)
             if held is not None:
-                table, values = np.concatenate([held[0], table], axis=1), np.concatenate([held[1], values])
+                table = np.concatenate([held, table], axis=1)
             cut = np.flatnonzero((table[:4, 1:] != table[:4, :-1]).any(axis=0)) + 1
             last = cut[-1] if len(cut) else 0
-            held = table[:, last:], values[last:]  # the last group may go on; it has 2 * bucket rows or so at most
-            yield from emitted(table[4, :last], values[:last], cut[:-1], distance)
+            held = table[:, last:]  # the last group may go on; it has 2 * bucket rows or so at most
+            yield from emitted(table[4, :last], cut[:-1], distance)
         if held is not None:
-            yield from emitted(held[0][4], held[1], np.zeros(0, dtype=np.int64), distance)
+            yield from emitted(held[4], np.zeros(0, dtype=np.int64), distance)
 
     return dealt.mapInArrow(work, "a long, b long")
 
 
 def near(one: np.ndarray, other: np.ndarray, distance: int) -> np.ndarray:
-    """Whether rows of bits differ in at most ``distance``."""
-    return np.bitwise_count(one ^ other).sum(axis=-1, dtype=np.int64) <= distance
+    """Whether fingerprints differ in at most ``distance`` bits."""
+    return np.bitwise_count(one ^ other) <= distance
 
 
-def emitted(fps: np.ndarray, values: np.ndarray, cut: np.ndarray, distance: int) -> Iterator[pa.RecordBatch]:
-    """Linking edges of the groups of ``fps`` that start at 0 and at each of ``cut``; ``values`` are their bits."""
+def emitted(fps: np.ndarray, cut: np.ndarray, distance: int) -> Iterator[pa.RecordBatch]:
+    """Linking edges of the groups of ``fps`` that start at 0 and at each of ``cut``."""
     if not len(fps):
         return
+    values = fps.view(np.uint64)
     starts = np.concatenate([[0], cut, [len(fps)]]).astype(np.int64)
     sizes = np.diff(starts)
     found: list[tuple[np.ndarray, np.ndarray]] = []
@@ -199,173 +179,19 @@ def near_duplicates(
     roots = components(links(distinct.select("fp"), distance, blocks))
     placed = distinct.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     least = placed.groupBy("root").agg(F.min("least").alias("component"))
-    classes = materialise(placed.join(least, "root").select("fp", "root", "component"))
+    classes = materialise(join_measured(placed, least, ["root"], "inner").select("fp", "root", "component"))
     return rows.join(classes, "fp", "left").select("uid", "id", "fp", "root", "component")
 
 
-class Wide:
-    """A long fingerprint of the distinct shingles of a text: blocks of it to meet by, its first bits to judge by."""
-
-    def __init__(self, words: int, similarity: float = SIMILARITY) -> None:
-        self.words, self.similarity, self.known = words, similarity, {}
-
-    @staticmethod
-    def bits(hashes: np.ndarray, lanes: int) -> np.ndarray:
-        """Majority of the bits of ``lanes`` hashes derived from each hash, 64 bits a lane."""
-        counts = np.zeros(64 * lanes, dtype=np.int64)
-        salts = mixed(np.arange(1, lanes + 1, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407))
-        for at in range(0, len(hashes), 255):  # as many as a byte can count
-            part = mixed(hashes[at : at + 255, None] ^ salts)
-            counts += np.unpackbits(part.view(np.uint8), axis=1, bitorder="little").sum(axis=0, dtype=np.uint8)
-        return np.packbits(counts * 2 > len(hashes), bitorder="little")
-
-    def shingles(self, text: bytes) -> np.ndarray:
-        """Hashes of the distinct shingles, ascending."""
-        tokens, known = text.lower().split(), self.known
-        if len(known) > 150_000:
-            known.clear()
-        for w in set(tokens).difference(known):
-            known[w] = xxhash.xxh3_64_intdigest(w)
-        hashes = np.fromiter(map(known.__getitem__, tokens), dtype=np.uint64, count=len(tokens))
-        return np.unique(gram_hashes(hashes, max(1, min(self.words, len(hashes)))))
-
-    def __call__(self, text: bytes) -> tuple[np.ndarray, bytes, np.ndarray, np.ndarray]:
-        """Block keys; bits to judge by; shingles of which a short text shares one with all that are similar; all shingles."""
-        shingles = self.shingles(text)
-        bits = self.bits(shingles, MEET_LANES)
-        n = len(shingles)
-        first = shingles[: n - int(np.ceil(self.similarity * n - 1e-9)) + 1] if n <= SHORT else shingles[:0]
-        return bits.view("<u2")[:MEET_BLOCKS].astype(np.int32), bits[: 8 * JUDGE_LANES].tobytes(), first, shingles
-
-
-def bits_apart(similarity: float, bits: int = 64) -> int:
-    """Bits by which fingerprints of sets of this Jaccard similarity differ on average."""
-    return int(round(bits * np.arccos(2 * similarity / (1 + similarity)) / np.pi))
-
-
-def exact_links(bodies: DataFrame, candidates: DataFrame, words: int, similarity: float, members: int = MEMBERS, most: int = SHINGLES) -> DataFrame:
-    """Edges ``a, b`` that connect the ``fp`` of one ``root`` whose shingles have this Jaccard similarity at least.
-
-    ``candidates`` (``fp, uid, root``) name a text of ``bodies`` for each ``fp``. Every pair of a root is
-    compared unless other edges connect it. A root of over ``members`` texts or ``most`` shingles is dealt
-    to several tasks as pairs of its parts, so a task holds about two such parts.
-    """
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wide = Wide(words)
-        for batch in batches:
-            sets = [wide.shingles(t) for (t,) in rows_of([batch], "body")]
-            made = [column(batch, "fp"), column(batch, "root"), longs([len(x) for x in sets]), pa.array([x.tobytes() for x in sets], pa.binary())]
-            yield pa.RecordBatch.from_arrays(made, ["fp", "root", "size", "shingles"])
-
-    found = bodies.join(candidates, "uid").select("fp", "root", F.col("body").cast("binary").alias("body"))
-    sets = materialise(found.mapInArrow(cut, "fp long, root long, size long, shingles binary").dropDuplicates(["fp"]))
-    totals = sets.groupBy("root").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("size")).where(F.col("n") > 1)
-    parts = F.greatest(F.ceil(F.col("n") / F.lit(members)), F.ceil(F.col("size") / F.lit(most)), F.lit(1))
-    totals = totals.select("root", F.least(parts, F.col("n")).cast("int").alias("parts"))
-    rows = sets.join(totals, "root").withColumn("own", F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int"))
-    pairs = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda j: F.struct(F.least(j, F.col("own")).alias("i"), F.greatest(j, F.col("own")).alias("j")))
-    group = ["root", "i", "j"]
-    rows = rows.select("root", F.explode(pairs).alias("p"), "fp", "shingles").select("root", "p.i", "p.j", "fp", "shingles")
-    dealt = rows.repartition(many(sets), *group).sortWithinPartitions(*group, "fp")
-
-    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, fps, held = None, [], []
-
-        def edges() -> pa.RecordBatch:
-            a, b = similar_forest(np.array(fps, dtype=np.int64), held, similarity)
-            return pa.RecordBatch.from_arrays([longs(a), longs(b)], ["a", "b"])
-
-        for root, i, j, fp, shingles in rows_of(batches, *group, "fp", "shingles"):
-            if (root, i, j) != at:
-                if len(fps) > 1:
-                    yield edges()
-                at, fps, held = (root, i, j), [], []
-            fps.append(fp)
-            held.append(np.frombuffer(shingles, dtype=np.uint64))
-        if len(fps) > 1:
-            yield edges()
-
-    return dealt.mapInArrow(link, "a long, b long")
-
-
-def similar_forest(fps: np.ndarray, sets: list[np.ndarray], similarity: float) -> tuple[np.ndarray, np.ndarray]:
-    """Edges of a spanning forest of the pairs of sets with this Jaccard similarity at least."""
-    sizes = np.array([len(x) for x in sets], dtype=np.int64)
-    names, flat = np.unique(np.concatenate(sets), return_inverse=True)
-    numbers = np.split(flat, np.cumsum(sizes)[:-1])
-    marked = np.zeros(len(names), dtype=bool)
-    rest = np.arange(len(sets))
-    a, b, queue = [], [], []
-    while len(rest):
-        if not queue:
-            queue, rest = [rest[0]], rest[1:]
-        x = queue.pop()
-        able = np.minimum(sizes[rest], sizes[x]) >= similarity * np.maximum(sizes[rest], sizes[x]) - 1e-9
-        marked[numbers[x]] = True
-        common = np.array([np.count_nonzero(marked[numbers[y]]) for y in rest[able]], dtype=np.int64)
-        marked[numbers[x]] = False
-        close = np.zeros(len(rest), dtype=bool)
-        close[able] = common >= similarity * (sizes[x] + sizes[rest[able]] - common) - 1e-9
-        if close.any():
-            got, rest = rest[close], rest[~close]
-            a.append(np.full(len(got), fps[x]))
-            b.append(fps[got])
-            queue.extend(got.tolist())
-    none = np.zeros(0, dtype=np.int64)
-    return (np.concatenate(a), np.concatenate(b)) if a else (none, none)
-
-
-def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, similarity: float = SIMILARITY) -> DataFrame:
-    """``uid, id, fp, root``: near-duplicate groups of whole documents by SimHash.
-
-    Documents link if the Jaccard similarity of their distinct ``words``-word shingles is ``similarity`` or
-    more, and a group is what links connect; ``fp`` is a hash of the shingles. SimHash finds the
-    candidates: documents whose first 256 bits differ in no more than sets of ``LOOSE`` times the
-    similarity do on average, so some five standard deviations above the bits of a pair at 0.8, and all that these
-    connect. Links between candidates are exact.
-
-    Candidates meet by ``MEET_BLOCKS`` blocks of ``MEET_WIDTH`` bits of a longer SimHash of the same
-    shingles. Sets of Jaccard 0.8 differ in 15 % of its bits wherever the edits are, scattered or in one passage, so
-    1 - (1 - 0.85 ** 16) ** 62 or 99 in 100 such pairs meet. In texts of ``SHORT`` shingles or fewer single bits vary
-    more; they also meet by their smallest shingles, of which two sets that similar surely share one.
-    """
-    schema = "uid long, id long, fp long, bits binary, blocks array<int>, first array<long>"
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wide = Wide(words, similarity)
-        for batch in batches:
-            made, fps = [], []
-            for (t,) in rows_of([batch], "body"):
-                *kept, shingles = wide(t)
-                made.append(kept)
-                fps.append(xxhash.xxh3_64_intdigest(shingles.tobytes()))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    column(batch, "uid"), column(batch, "id"), longs(signed(np.array(fps, dtype=np.uint64))),
-                    pa.array([b for _, b, _ in made], pa.binary()), pa.array([m for m, _, _ in made], pa.list_(pa.int32())),
-                    pa.array([signed(f) for _, _, f in made], pa.list_(pa.int64())),
-                ],
-                ["uid", "id", "fp", "bits", "blocks", "first"],
-            )
-
-    rows = materialise(texts(docs, key, text).select("uid", "id", F.col("body").cast("binary").alias("body")).mapInArrow(work, schema))
-    distinct = materialise(rows.groupBy("fp").agg(*[F.first(c).alias(c) for c in ("bits", "blocks", "first")], F.min("uid").alias("uid")))
-    keyed = distinct.select("fp", F.posexplode("blocks").alias("mask", "part")).select("fp", "mask", F.col("part").cast("long").alias("part"))
-    keyed = keyed.unionByName(distinct.select("fp", F.lit(-1).alias("mask"), F.explode("first").alias("part")))
-    loose = components(bucket_links(keyed, distinct.select("fp", "bits"), bits_apart(LOOSE * similarity, 64 * JUDGE_LANES), BUCKET))
-    candidates = distinct.select("fp", "uid").join(loose, F.col("fp") == F.col("node")).select("fp", "uid", "root")
-    roots = components(exact_links(texts(docs, key, text), materialise(candidates), words, similarity))
-    return rows.select("uid", "id", "fp").join(roots, F.col("fp") == F.col("node"), "left").select("uid", "id", "fp", F.coalesce("root", "fp").alias("root"))
-
-
-def kept_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, similarity: float = SIMILARITY) -> DataFrame:
-    """The rows of ``docs`` that represent their group (see ``similar_groups``): one for each, that with the smallest id.
+def kept_documents(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 3, distance: int = 3, blocks: int = 5
+) -> DataFrame:
+    """The rows of ``docs`` that represent their group (see ``near_duplicates``): one for each, that with the smallest id.
 
     Null ids come last; of repeated rows with that id, one stays. Texts without a word are copies
     of each other, so one of them stays.
     """
-    found = similar_groups(docs, key, text, words, similarity)
+    found = near_duplicates(docs, key, text, words, distance, blocks)
     first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "uid"))
     chosen = found.groupBy("root").agg(first.alias("f")).select("f.uid")
     rows = with_rows(docs, key, text).select("uid", "row")

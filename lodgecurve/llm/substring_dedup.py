@@ -156,7 +156,7 @@ def earlier_pieces(docs: DataFrame, window: int = WINDOW, cells: int = CELLS, de
         settled.append(placed.where(F.col("id") > F.col("first")).select("uid", "pos"))
         if block is None:
             break
-        several = groups.groupBy("core").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select("core")
+        several = materialise(groups.groupBy("core").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select("core"))
         open_rows = placed.where(F.col("id") == F.col("first")).join(several, "core", "left_semi")
         rows = next_pass(docs, open_rows.select("uid", "pos"), tokens, 8, shape, block)
     return reduce(DataFrame.unionByName, settled)

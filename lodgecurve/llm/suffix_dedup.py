@@ -1,12 +1,12 @@
-"""Removal of repeated passages, as a suffix sort that stops at the threshold.
+"""Removal of repeated passages of a given number of bytes or words.
 
-Suffixes that share their first ``length`` bytes are exactly the places of a repeated window, so
-ordering them further is not needed. Radix passes split the suffixes from the most selective digit
-on, and a group of one leaves at once. Digits are hashes of parts of the first ``length`` bytes:
-first the part around the anchor gram that a suffix shares with its neighbours, in ever smaller
-blocks of neighbours, at last all ``length`` bytes (see ``windows``). Runs of neighbouring suffixes
-travel as one row as long as the digits so far do not tell them apart, and runs that are equal as a
-whole are settled together, so rows are few: one or two for every ``width / 2`` bytes at first.
+Suffixes that share their first ``length`` tokens are exactly the places of a repeated window, so
+nothing beyond that depth needs to be told apart. A depth-limited radix sort would split all
+suffixes digit by digit and shuffle a row for each byte of text (README: bytes of both ways). Here
+suffixes are not sorted: runs of neighbouring windows with a common anchor travel as one row, rows
+are grouped by hashes of what their windows have in common, in ever smaller runs of neighbours,
+at last the whole window (see ``windows``). A group of one leaves at once, and runs that are equal as
+a whole are settled together, so rows are few: one or two for every ``width / 2`` tokens at first.
 
 Nothing is capped: copies meet in aggregations that combine map-side, and a hot group is at worst
 one counted row.
@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from lodgecurve.llm.common import longs, quoted, rows_of, texts, with_rows
 from lodgecurve.llm.repeats import covered, first_pass, next_pass, spans_by_document, with_texts, without
+from lodgecurve.llm.substring_dedup import Words, shape_of
 from lodgecurve.llm.windows import Shape, mixed
 from lodgecurve.operators.scale import materialise
 
@@ -33,6 +34,29 @@ MOST = 4000
 BYTE = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
+class Unit:
+    """What a text is counted in, the tokens of a task, and a text without spans of them."""
+
+    def __init__(self, name: str) -> None:
+        if name not in ("bytes", "words"):
+            raise ValueError("unit must be bytes or words")
+        self.words = name == "words"
+        self.size = 8 if self.words else 1
+
+    def tokens(self):
+        return Words() if self.words else byte_tokens
+
+    def without(self, body: bytes, spans: list[tuple[int, int]]) -> bytes:
+        """Words that are left of a touched text are joined by one space."""
+        if not self.words or not spans:
+            return without(body, spans)
+        words, kept, at = body.split(), [], 0
+        for a, b in spans:
+            kept += words[at:a]
+            at = b
+        return b" ".join(kept + words[at:])
+
+
 def byte_tokens(body: bytes) -> tuple[np.ndarray, bytes]:
     return BYTE[np.frombuffer(body, dtype=np.uint8)], body
 
@@ -48,12 +72,14 @@ def passes(length: int) -> tuple[Shape, list[int]]:
     return shape, blocks
 
 
-def repeated_pieces(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+def repeated_pieces(docs: DataFrame, length: int = LENGTH, unit: str = "bytes") -> DataFrame:
     """``uid, pos``: pieces whose windows all occur at least twice; ``docs`` has ``uid, id, body``."""
     if not 2 <= length <= MOST:
         raise ValueError(f"length must be from 2 to {MOST}")
-    shape, blocks = passes(length)
-    settled, rows = [], first_pass(docs, byte_tokens, 1, shape, blocks[0])
+    counted = Unit(unit)
+    tokens, size = counted.tokens(), counted.size
+    shape, blocks = passes(length) if unit == "bytes" else shape_of(length)
+    settled, rows = [], first_pass(docs, tokens, size, shape, blocks[0])
     for block in [*blocks[1:], None]:
         rows = materialise(rows.drop("id"))
         again = rows.groupBy("core").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select("core")
@@ -67,12 +93,12 @@ def repeated_pieces(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         single = groups.where(F.col("n") == 1)
         witness = groups.where(F.col("n") > 1).join(single.select("core").distinct(), "core", "left_semi")
         pieces = single.select("one.*").unionByName(witness.select("one.*"))
-        rows = next_pass(docs, pieces, byte_tokens, 1, shape, block)
+        rows = next_pass(docs, pieces, tokens, size, shape, block)
     return reduce(DataFrame.unionByName, settled)
 
 
-def judged(docs: DataFrame, length: int = LENGTH, work=None, schema: str = "") -> DataFrame:
-    found = spans_by_document(repeated_pieces(docs.select("uid", "id", "body"), length))
+def judged(docs: DataFrame, length: int, unit: str, work, schema) -> DataFrame:
+    found = spans_by_document(repeated_pieces(docs.select("uid", "id", "body"), length, unit))
     return with_texts(docs, found, "left").mapInArrow(work, schema)
 
 
@@ -99,25 +125,29 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", len
             )
 
     schema = "id long, n_bytes long, spans array<struct<from: long, to: long>>, kept_sha256 string"
-    return judged(texts(docs, key, text), length, work, schema)
+    return judged(texts(docs, key, text), length, "bytes", work, schema)
 
 
-def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, chars: str | None = None) -> DataFrame:
-    """``docs`` with repeated passages cut from the text column, all rows and columns kept.
+def without_repeats(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, chars: str | None = None, unit: str = "bytes"
+) -> DataFrame:
+    """``docs`` with passages of ``length`` bytes or words that also start anywhere else cut from the text column.
 
-    Bytes of a character that is only partly repeated go with it, so the rest stays valid UTF-8.
+    All rows and columns are kept. Bytes of a character that is only partly repeated go with it, so
+    the rest stays valid UTF-8. Words are runs of anything but ASCII white space, taken as they are;
+    what is left of a text that loses some is joined by one space.
     ``chars`` names a column that holds the text's length, to be counted anew.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kept = [without(b, covered(p, length)).decode("utf-8", "ignore") for b, p in rows_of([batch], "body", "positions")]
+            kept = [counted.without(b, covered(p, length)).decode("utf-8", "ignore") for b, p in rows_of([batch], "body", "positions")]
             row = batch.column(batch.schema.get_field_index("row"))
             yield pa.RecordBatch.from_arrays([row, pa.array(kept, pa.string())], ["row", "kept"])
 
-    rows = with_rows(docs, key, text)
+    counted, rows = Unit(unit), with_rows(docs, key, text)
     schema = rows.select("row").schema.add("kept", "string")
-    cut = judged(rows, length, work, schema)
+    cut = judged(rows, length, unit, work, schema)
     now = {text: F.col("kept")} | ({chars: F.length("kept").cast(docs.schema[chars].dataType)} if chars in docs.columns else {})
     was = lambda c: F.col(f"row.{quoted(c)}")
     return cut.select(*[F.when(was(text).isNotNull(), now[c]).otherwise(was(c)).alias(c) if c in now else was(c).alias(c) for c in docs.columns])

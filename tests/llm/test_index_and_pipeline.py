@@ -89,7 +89,7 @@ def test_pipeline_end_to_end(spark, tmp_path):
         if i % 8 == 0:
             text = " ".join(w + (" vilewretch scumlord" if k % 30 == 5 else "") for k, w in enumerate(text.split()))
         data.append((i, text))
-    data += [(1000 + i, data[i][1]) for i in (1, 2, 3)] + [(2000 + i, data[i][1].replace(" ", "  other ", 1)) for i in (4, 5)]
+    data += [(1000 + i, data[i][1]) for i in (1, 2, 3)] + [(2000 + i, data[i][1].replace(" ", " \n ", 1).title()) for i in (4, 5)]
     data += [(3000 + i, prose(4000 + i, 80) + " " + passage + " " + prose(5000 + i, 30)) for i in range(3)] + [(4000, None), (4001, "")]
     docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in data], "doc_id long, text string, lang string, source string, n_chars long")
     docs.write.parquet(f"{tmp_path}/documents.parquet")
@@ -117,7 +117,7 @@ def test_pipeline_end_to_end(spark, tmp_path):
 
 def test_registered_queries():
     numbers = sorted(int(n[2:].split("_")[0]) for n in QUERIES)
-    assert numbers == list(range(1, 11)) and set(ORACLE) <= set(QUERIES)
+    assert numbers == list(range(1, 14)) and set(ORACLE) <= set(QUERIES)
 
 
 def test_pipeline_targets_move_the_mix_and_can_be_reached():

@@ -56,6 +56,24 @@ def test_words_removed_are_those_of_brute_force_whatever_the_sketch(spark, windo
     assert sorted((tuple(r) for r in found), key=str) == word_repeats(rows(), window)
 
 
+@pytest.mark.parametrize("length", [50, 7, 2])
+def test_repeated_windows_of_words_go_from_every_text(spark, length):
+    data = [(n, t) for n, (_, t) in enumerate(rows())]
+    texts = [(t or "").encode().split() for _, t in data]
+    seen = Counter(tuple(w[p : p + length]) for w in texts for p in range(len(w) - length + 1))
+    want = {}
+    for (i, t), w in zip(data, texts):
+        gone = {q for p in range(len(w) - length + 1) if seen[tuple(w[p : p + length])] > 1 for q in range(p, p + length)}
+        want[i] = t if not gone else b" ".join(x for q, x in enumerate(w) if q not in gone).decode()
+    got = suffix_dedup.without_repeats(frame(spark, data), length=length, unit="words").collect()
+    assert {r.doc_id: r.text for r in got} == want
+    left = [t.split() for t in want.values() if t]
+    again = Counter(tuple(w[p : p + length]) for w in left for p in range(len(w) - length + 1))
+    assert length < 50 or max(again.values()) == 1  # no window of 50 words is in two kept places
+    with pytest.raises(ValueError):
+        suffix_dedup.without_repeats(frame(spark, data), unit="lines")
+
+
 def test_cut_texts_keep_rows_columns_and_valid_text(spark):
     docs = frame(spark)
     cut = suffix_dedup.without_repeats(docs, length=50)

@@ -5,7 +5,6 @@ import random
 import numpy as np
 import pytest
 import xxhash
-from pyspark.sql import functions as F
 
 from lodgecurve.llm import components, simhash
 from tests.llm.fixtures import empty, frame, prose, rows
@@ -92,63 +91,3 @@ def test_null_ids_and_empty_tables(spark):
     assert kept.count() == 2
     assert simhash.kept_documents(empty(spark)).count() == 0
     assert simhash.near_duplicates(empty(spark)).count() == 0
-
-
-def test_similar_documents_meet(spark):
-    r = random.Random(3)
-    pairs = []
-    for i in range(40):
-        words = prose(500 + i, 300).split()
-        other = list(words)
-        for at in r.sample(range(300), 4):
-            other[at] = f"new{at}"
-        pairs += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(other))]
-    groups = simhash.similar_groups(frame(spark, pairs)).groupBy("root").agg(F.sort_array(F.collect_list("id")).alias("ids")).collect()
-    together = {tuple(g.ids) for g in groups}
-    assert all(len(g) <= 2 for g in together) and sum(len(g) == 2 for g in together) >= 36
-
-
-def passage_edits(seed: int, size: int) -> list[str]:
-    """A text, and it with its end cut off, with a passage added and with one replaced: each just over Jaccard 0.8."""
-    words, other = prose(seed, size).split(), prose(seed + 5000, size).split()
-    k, few = int(size * 0.19), int(size * 0.09)
-    return [" ".join(w) for w in (words, words[: size - k], words + other[:k], words[:50] + other[:few] + words[50 + few :])]
-
-
-def test_texts_with_a_passage_cut_added_or_replaced_meet():
-    wide, met = simhash.Wide(5), [0, 0, 0]
-    for seed in range(100):
-        first, *edits = [wide(t.encode()) for t in passage_edits(seed, 300)]
-        for kind, edit in enumerate(edits):
-            met[kind] += bool((first[0] == edit[0]).any())
-    assert min(met) >= 95
-
-
-def test_links_are_exact(spark):
-    def jaccard(a, b):
-        x, y = ({tuple(t.split()[k : k + 5]) for k in range(max(1, len(t.split()) - 4))} for t in (a, b))
-        return len(x & y) / len(x | y)
-
-    texts = [t for seed in range(12) for t in passage_edits(seed, 150)]
-    for seed in range(40):  # ten words, of which the last differs: 0.71; of fourteen: 0.82; a text with a third cut off: 0.67
-        ten, fourteen, long = prose(900 + seed, 10), prose(950 + seed, 14).split(), prose(1000 + seed, 120).split()
-        texts += [ten, ten.rsplit(" ", 1)[0] + " other", " ".join(fourteen), " ".join(fourteen[:-1] + ["other"]), " ".join(long), " ".join(long[:80])]
-    want = closure(range(len(texts)), lambda a, b: jaccard(texts[a], texts[b]) >= 0.8)
-    got = simhash.similar_groups(frame(spark, list(enumerate(texts)))).collect()
-    least = {}
-    for r in got:
-        least[r.root] = min(r.id, least.get(r.root, r.id))
-    wrong = [r.id for r in got if least[r.root] != want[r.id]]
-    assert not [i for i in wrong if least[next(r.root for r in got if r.id == i)] < want[i]]  # none too many in a group
-    assert len(wrong) <= 2 and len(set(want.values())) < len(texts)
-
-
-def test_parts_of_a_root_connect_as_the_whole(spark):
-    base = prose(7, 200).split()
-    texts = [" ".join(base[k : k + 120]) for k in range(0, 60, 6)] + [" ".join(base[k : k + 120]) for k in range(75, 80)]
-    data = [(i, t) for i, t in enumerate(texts)]
-    bodies = simhash.texts(frame(spark, data))
-    candidates = bodies.select(F.col("id").alias("fp"), "uid", F.lit(1).cast("long").alias("root"))
-    for size in (1024, 3):
-        found = components.components(simhash.exact_links(bodies, candidates, 5, 0.8, size)).collect()
-        assert {r.node: r.root for r in found} == {**{i: 0 for i in range(10)}, **{i: 10 for i in range(10, 15)}}
