@@ -3,8 +3,8 @@
 Every stage takes all that the one before kept, as a Parquet table, and its decisions take effect:
 
 1. toxicity       documents whose compression-distance score reads toxic go
-2. near_dedup     one document of each SimHash near-duplicate group stays
-3. repeat_dedup   passages of 400 bytes that occur anywhere else are cut from the texts
+2. near_dedup     one document of each SimHash group (3-word shingles, 3 bits) stays
+3. repeat_dedup   passages of 50 words that occur anywhere else are cut from the texts
 4. mixing         documents are repeated so that expected words by quality near the target shares
 5. packing        the rest becomes pieces of sequences of 4096 tokens, neighbours side by side
 
@@ -14,10 +14,12 @@ document whose whole text is repeated elsewhere stays as an empty one.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from lodgecurve.llm import mixing, packing, simhash, suffix_dedup, toxicity
-from lodgecurve.operators.scale import materialise
+from lodgecurve.operators.scale import scratch, shared_folder
 
 QUALITY = "CASE quality WHEN 1 THEN 'high' WHEN 0 THEN 'low' END"
 SHARES = {"high": 0.80, "low": 0.20}  # of the labelled words 0.87 and 0.13, so low ones come about twice
@@ -33,7 +35,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def repeat_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return suffix_dedup.without_repeats(docs, chars="n_chars")
+    return suffix_dedup.without_repeats(docs, length=50, chars="n_chars", unit="words")
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,8 +53,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the whole documents table, a Parquet table after each but the last."""
+    """All stages over the whole documents table, a Parquet table after each but the last; a stage's own tables go with it."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir))
+    for name, stage in STAGES[:-1]:
+        path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+        with scratch(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
     return STAGES[-1][1](spark, docs, sf_dir)
