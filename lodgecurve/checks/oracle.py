@@ -122,32 +122,55 @@ def _curved(points: int) -> str:
     return _with(LISTINGS_SQL, CLIPPED_SQL, BINS_SQL, FIT_SQL, REGIMES_SQL, BASE_SQL, _curve(points))
 
 
-# Every pair of a season's weekday and weekend price, seasons joined pairwise from low to high.
-SOLVED_SQL = """
-allowed AS (SELECT *, daily * days AS revenue FROM curve WHERE price BETWEEN 10 AND 1000 AND occ >= 0.5e0),
-pairs AS (SELECT d.city, d.season, d.price AS pd, e.price AS pe, d.grid_index AS gd, e.grid_index AS ge,
-            d.revenue + e.revenue AS revenue
-          FROM allowed d JOIN allowed e ON d.city = e.city AND d.season = e.season AND d.weekend = 0 AND e.weekend = 1
-            AND e.price >= 1.1e0 * d.price),
-two AS (SELECT s.city, s.pd, s.pe, s.gd, s.ge, max(s.revenue + l.revenue) AS revenue,
-          arg_max(l.gd, s.revenue + l.revenue) AS lgd, arg_max(l.ge, s.revenue + l.revenue) AS lge
-        FROM pairs s JOIN pairs l ON s.city = l.city AND s.season = 'shoulder' AND l.season = 'low'
-          AND s.pd >= 1.05e0 * l.pd AND s.pe >= 1.05e0 * l.pe
-        GROUP BY s.city, s.pd, s.pe, s.gd, s.ge),
-three AS (SELECT h.city, h.gd, h.ge, t.gd AS sgd, t.ge AS sge, t.lgd, t.lge, h.revenue + t.revenue AS revenue
-          FROM pairs h JOIN two t ON h.city = t.city AND h.season = 'high'
-            AND h.pd >= 1.05e0 * t.pd AND h.pe >= 1.05e0 * t.pe),
-pick AS (SELECT city, arg_max(gd, revenue) AS gd, arg_max(ge, revenue) AS ge, arg_max(sgd, revenue) AS sgd,
-           arg_max(sge, revenue) AS sge, arg_max(lgd, revenue) AS lgd, arg_max(lge, revenue) AS lge
-         FROM three GROUP BY city),
-picked AS (SELECT city, 'high' AS season, 0 AS weekend, gd AS grid_index FROM pick
-  UNION ALL SELECT city, 'high', 1, ge FROM pick UNION ALL SELECT city, 'shoulder', 0, sgd FROM pick
-  UNION ALL SELECT city, 'shoulder', 1, sge FROM pick UNION ALL SELECT city, 'low', 0, lgd FROM pick
-  UNION ALL SELECT city, 'low', 1, lge FROM pick),
+# Weekday and weekend prices of a season meet as a table; the best choice up to each cell is a running maximum along both
+# axes, which the season above reads at the last prices it may stand over. A segment a market lacks is one option without a price.
+def _season(name: str, lower: str | None) -> str:
+    below = f"JOIN {lower}_best b ON b.city = d.city AND b.i = d.reach AND b.j = e.reach" if lower else ""
+    value = "d.revenue + e.revenue" + (" + b.m" if lower else "")
+    kept = [f"{k}{v}" for v in _lower(lower) for k in "ij"]
+    carried = "".join(f", b.{k} AS {k}" for k in kept)
+    reach = (
+        f"(SELECT count(*) FROM sides l WHERE l.city = s.city AND l.weekend = s.weekend AND l.season = '{lower}'"
+        " AND (l.price IS NULL OR s.price IS NULL OR s.price >= 1.05e0 * l.price))"
+        if lower else "0"
+    )
+    along = "".join(f", arg_max({k}, v) OVER w AS {k}" for k in [f"i{name}", f"j{name}", *kept])
+    across = along.replace(", v)", ", m)")
+    return f"""
+{name}_sides AS (SELECT s.*, {reach} AS reach FROM sides s WHERE season = '{name}'),
+{name}_cells AS (SELECT d.city, d.n AS i, e.n AS j, d.n AS i{name}, e.n AS j{name},
+    CASE WHEN e.price < 1.1e0 * d.price THEN -1e300 ELSE {value} END AS v{carried}
+  FROM {name}_sides d JOIN {name}_sides e ON d.city = e.city AND d.weekend = 0 AND e.weekend = 1 {below}),
+{name}_rows AS (SELECT city, i, j, max(v) OVER w AS m{along} FROM {name}_cells
+  WINDOW w AS (PARTITION BY city, i ORDER BY j)),
+{name}_best AS (SELECT city, i, j, max(m) OVER w AS m{across} FROM {name}_rows
+  WINDOW w AS (PARTITION BY city, j ORDER BY i))"""
+
+
+def _lower(name: str | None) -> list[str]:
+    return [] if name is None else [name, *_lower({"high": "shoulder", "shoulder": "low", "low": None}[name])]
+
+
+SOLVED_SQL = (
+    """
+sides AS (SELECT city, season, weekend, price, grid_index, daily * days AS revenue,
+    row_number() OVER (PARTITION BY city, season, weekend ORDER BY price) AS n
+  FROM curve WHERE price BETWEEN 10 AND 1000 AND occ >= 0.5e0
+  UNION ALL SELECT city, season, weekend, NULL, NULL, 0e0, 1 FROM (SELECT DISTINCT city FROM curve)
+    CROSS JOIN (VALUES ('low'), ('shoulder'), ('high')) AS a(season) CROSS JOIN (VALUES (0), (1)) AS b(weekend)
+    WHERE (city, season, weekend) NOT IN (SELECT (city, season, weekend) FROM curve)),"""
+    + ",".join(_season(n, l) for n, l in (("low", None), ("shoulder", "low"), ("high", "shoulder")))
+    + """,
+pick AS (SELECT city, max(v) AS v, unnest([{s: 'high', w: 0, n: arg_max(ihigh, v)}, {s: 'high', w: 1, n: arg_max(jhigh, v)},
+    {s: 'shoulder', w: 0, n: arg_max(ishoulder, v)}, {s: 'shoulder', w: 1, n: arg_max(jshoulder, v)},
+    {s: 'low', w: 0, n: arg_max(ilow, v)}, {s: 'low', w: 1, n: arg_max(jlow, v)}]) AS p FROM high_cells GROUP BY city),
+picked AS (SELECT s.city, s.season, s.weekend, s.grid_index FROM pick
+  JOIN sides s ON s.city = pick.city AND s.season = p.s AND s.weekend = p.w AND s.n = p.n WHERE v > -1e200 AND s.price IS NOT NULL),
 solved AS (SELECT c.*, daily * days AS annual, p0 * o0 * days AS base_annual
            FROM curve c JOIN picked USING (city, season, weekend, grid_index))
 """
-SOLVED = _curved(25).rstrip() + ", " + SOLVED_SQL.strip() + "\n"
+)
+SOLVED = _curved(500).rstrip() + ", " + SOLVED_SQL.strip() + "\n"
 
 MEDIANS_SQL = """
 property AS (SELECT city, quantile_disc(listing_price, 0.5) AS listing_price,
@@ -475,3 +498,13 @@ ORACLE = {
         JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey)
       CROSS JOIN (VALUES ('high'), ('shoulder'), ('low')) AS s(season) CROSS JOIN (VALUES (0), (1)) AS w(weekend)""",
 }
+
+_EXPORTED = {"baseline_price": ("p0", 2), "optimal_price": ("price", 2), "price_change_pct": ("(price - p0) / p0 * 1e2", 1),
+    "baseline_occupancy": ("o0", 4), "predicted_occupancy": ("occ", 4), "occupancy_change_pct": ("(occ - o0) / o0 * 1e2", 1),
+    "baseline_annual_revenue": ("base_annual", 2), "annual_revenue": ("annual", 2), "revenue_lift": ("annual - base_annual", 2),
+    "revenue_lift_pct": ("(annual - base_annual) / base_annual * 1e2", 1), "elasticity_slope": ("slope", 3)}
+ORACLE["price_schedule"] = (
+    SOLVED + f"SELECT {SEG}, segment_name, days AS days_in_segment, "
+    + ", ".join(f"round_even({e}, {d}) + 0e0 AS {c}" for c, (e, d) in _EXPORTED.items()) + " FROM solved"
+)
+ORACLE |= {f"{name}_full_grid": ORACLE[name] for name in ("optimal_prices", "solution_status", "lift_report", "portfolio_kpis", "weekend_premium")}

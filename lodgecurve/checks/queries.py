@@ -426,7 +426,7 @@ def baseline(listed: DataFrame, with_days: bool = True) -> DataFrame:
     return materialise(demand.with_regimes(base, elastic_rows(listed)))
 
 
-GRID = 25  # as the SQL of the queries that take it; the queries named _full_grid have 500
+GRID = 500
 
 
 def price_grid(spark, sf):
@@ -486,7 +486,7 @@ def solved(listed: DataFrame, points: int = GRID) -> tuple[DataFrame, DataFrame]
 
 
 def optimal_prices(spark, sf):
-    """Optimal prices of all markets on a grid of 25 prices."""
+    """Optimal prices of all markets on a grid of 500 prices."""
     rows, _ = solved(held(spark, sf, *SOLD))
     return rows.select(*SEGMENT_COLS, "grid_index", r("price", 9), r("predicted_occupancy"), r("annual_revenue", 4))
 

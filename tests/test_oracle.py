@@ -11,7 +11,7 @@ TABLES = "customer lineitem nation orders part region supplier".split()
 SQL_TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
 SAMPLE = """
 bool_flags tolerant_casts segment_key_roundtrip listing_features segment_dataset outlier_filter competition_features
-days_per_segment price_bins breakpoint_search regime_lookup three_way_split optimal_prices linear_fit ingest_csv
+days_per_segment price_bins breakpoint_search regime_lookup three_way_split optimal_prices solution_status lift_report portfolio_kpis weekend_premium price_schedule linear_fit ingest_csv
 """.split()
 
 

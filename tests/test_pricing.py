@@ -78,6 +78,8 @@ def test_business_summary(spark, published):
         "price_range_tested": "±50%", "min_occupancy_threshold": "50%", "weekend_premium": "110%",
         "portfolio_price_change_limit": "±50%"}
     assert doc["revenue_lift"]["percentage"] == pytest.approx(4.453, abs=0.002)
+    assert doc["insights"]["best_segment"] == "high_season_weekend"
+    assert doc["insights"]["yearly_revenue_gained"] == doc["revenue_lift"]["absolute"]
 
 
 SLOTS = [("low", 0), ("low", 1), ("shoulder", 0), ("shoulder", 1), ("high", 0), ("high", 1)]
