@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -649,12 +648,7 @@ def permutation_importance(spark, sf):
     train, test, names = model_rows(spark, sf)
     model = learning.boosted_trees().fit(train)
     rows = test.select("label", F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in names]).alias("features"))
-    vector = model.getFeaturesCol()
-
-    def score(df):
-        return model.transform(df.withColumn(vector, array_to_vector("features")))
-
-    return importance.permutation_importance(rows, names, score)
+    return importance.tree_permutation_importance(rows, names, model)
 
 
 def prepared_listings(spark, sf):

@@ -36,15 +36,21 @@ def shared_folder(spark) -> str:
     return context.getCheckpointDir()
 
 
+def scratch_path(spark, kind: str) -> str:
+    """A new path in the shared folder, deleted with the ``scratch`` scope that is open, if one is."""
+    path = f"{shared_folder(spark)}/{kind}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
 def materialise(df: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Write ``df`` once as a table in the shared folder and read it from there ever after.
 
     What follows no longer depends on executors that computed ``df``, reads only the columns
     it needs and knows the table's size. ``by`` names columns to partition the table by.
     """
-    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
-    if _scopes:
-        _scopes[-1].append(path)
+    path = scratch_path(df.sparkSession, "table")
     (df.write.partitionBy(*by) if by else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
