@@ -1,7 +1,9 @@
-"""One-hot columns for text categories, and back."""
+"""Text categories as one-hot columns, and back, or as sparse vectors where values are many."""
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer
 from pyspark.sql import DataFrame
@@ -50,8 +52,11 @@ def load_categories(df: DataFrame) -> dict[str, dict[str, list[str]]]:
     return fitted
 
 
-def apply_one_hot(df: DataFrame, fitted: dict[str, dict[str, list[str]]], drop_originals: bool = False) -> DataFrame:
-    """0/1 columns for fitted categories; values and columns not seen at fitting give zeros."""
+def apply_one_hot(df: DataFrame, fitted: dict[str, dict[str, list[str]]] | SparseCategories, drop_originals: bool = False) -> DataFrame:
+    """0/1 columns, or vectors, for fitted categories; values and columns not seen at fitting give zeros."""
+    if isinstance(fitted, SparseCategories):
+        out = fitted.apply(df)
+        return out.drop(*fitted.columns) if drop_originals else out
     flags = {}
     for column, outputs in fitted.items():
         for output, vals in outputs.items():
@@ -79,6 +84,57 @@ def indexed_categories(df: DataFrame, columns: list[str]) -> PipelineModel:
     return Pipeline(stages=[index, vectors]).fit(df)
 
 
+@dataclass
+class SparseCategories:
+    """Fitted text columns as sparse 0/1 vectors ``cat_{column}``, a place for each value, named by the vector's metadata.
+
+    Takes the place of fitted one-hot columns in every plan. A table keeps its width whatever the number of
+    values; the driver and each task hold the values themselves, as they hold a model's weights.
+    Values with the same safe name keep places of their own. Values not seen at fitting, NULL, and
+    columns a table lacks give a vector of zeros.
+    """
+
+    columns: list[str]
+    model: PipelineModel | None
+
+    @property
+    def outputs(self) -> list[str]:
+        return [f"cat_{c}" for c in self.columns]
+
+    def apply(self, df: DataFrame) -> DataFrame:
+        if self.model is None:
+            return df
+        text = {c: F.col(c).cast("string") if c in df.columns else F.lit(None).cast("string") for c in self.columns}
+        helpers = [f"__{kind}_{c}" for c in self.columns for kind in ("text", "index")]
+        given = df.drop(*self.outputs).withColumns({f"__text_{c}": value for c, value in text.items()})
+        return self.model.transform(given).drop(*helpers)
+
+    def save(self, path: str) -> None:
+        if self.model is None:
+            raise ValueError("no column to save")
+        self.model.write().overwrite().save(path)
+
+    @classmethod
+    def load(cls, path: str) -> SparseCategories:
+        model = PipelineModel.load(path)
+        return cls([c.removeprefix("__text_") for c in model.stages[0].getInputCols()], model)
+
+
+def fit_sparse_categories(df: DataFrame, columns: list[str] | None = None) -> SparseCategories:
+    """Learn the values of text columns, however many. Columns that are absent or hold no value are left out."""
+    wanted = string_columns(df) if columns is None else [c for c in columns if c in df.columns]
+    known = df.agg(*[F.count(c).alias(c) for c in wanted]).first() if wanted else {}
+    columns = [c for c in wanted if known[c]]
+    if not columns:
+        return SparseCategories([], None)
+    texts, places = [f"__text_{c}" for c in columns], [f"__index_{c}" for c in columns]
+    index = StringIndexer(inputCols=texts, outputCols=places, handleInvalid="keep", stringOrderType="alphabetAsc")
+    # the last place is that of unknown values; dropping it leaves them zeros
+    vectors = OneHotEncoder(inputCols=places, outputCols=[f"cat_{c}" for c in columns], handleInvalid="error", dropLast=True)
+    named = df.select(*[F.col(c).cast("string").alias(t) for c, t in zip(columns, texts)])
+    return SparseCategories(columns, Pipeline(stages=[index, vectors]).fit(named))
+
+
 def reverse_one_hot(df: DataFrame, column: str) -> DataFrame:
     """Rebuild ``column`` from its 0/1 columns: the safe name of the first one set."""
     prefix = f"cat_{column}_"

@@ -15,13 +15,14 @@ def feature_dataset(
     df: DataFrame,
     segment_cols: list[str] = SEGMENT_COLS,
     encode: bool = True,
-    categories: dict[str, dict[str, list[str]]] | None = None,
+    categories: dict[str, dict[str, list[str]]] | encoding.SparseCategories | None = None,
     max_categories: int = encoding.MAX_CATEGORIES,
 ) -> tuple[DataFrame, DataFrame]:
     """Listing features with segment statistics and one-hot columns, and the segment dataset.
 
     Both results share one aggregation over the segments. ``max_categories`` bounds the one-hot
-    columns that are fitted where no ``categories`` are given.
+    columns that are fitted where no ``categories`` are given; ``encoding.fit_sparse_categories``
+    gives categories without a bound, as vector columns.
     """
     listed = segments.listing_features(df)
     dataset = materialise(segments.segment_dataset(listed, segment_cols))
@@ -37,7 +38,7 @@ def prepare_listings(
     raw: DataFrame,
     elasticity_rows: DataFrame | None = None,
     segment_cols: list[str] = SEGMENT_COLS,
-    categories: dict[str, dict[str, list[str]]] | None = None,
+    categories: dict[str, dict[str, list[str]]] | encoding.SparseCategories | None = None,
     max_categories: int = encoding.MAX_CATEGORIES,
 ) -> tuple[DataFrame, DataFrame]:
     """Clip, derive, drop outliers and add price elasticity; gives listings and the segment dataset.

@@ -9,20 +9,21 @@ from pyspark.sql import functions as F
 
 from lodgecurve.operators import demand, learning, report, segments
 from lodgecurve.operators.cleaning import safe_floats
-from lodgecurve.operators.encoding import apply_one_hot
+from lodgecurve.operators.encoding import SparseCategories, apply_one_hot
 from lodgecurve.operators.optimize import PriceRules, optimal_prices
 from lodgecurve.operators.scale import join_measured, materialise
 from lodgecurve.schemas import SEGMENT_COLS
 
 
 def baseline_scores(
-    listed: DataFrame, rows: DataFrame, model, names: list[str], fitted: dict, room_type: str, mode: str = "train"
+    listed: DataFrame, rows: DataFrame, model, names: list[str], fitted: dict | SparseCategories, room_type: str, mode: str = "train"
 ) -> DataFrame:
     """Occupancy the model expects for each market's typical property at the segment median price."""
     stats = segments.pricing_segment_stats(listed)
     properties = demand.representative_property(segments.market_profile(listed), room_type, mode)
     inputs = apply_one_hot(demand.baseline_features(stats, properties, rows, mode), fitted)
-    scored = learning.score(safe_floats(inputs, names), model, names, "baseline_occupancy")
+    vectors = set(learning.vector_columns(inputs, names))
+    scored = learning.score(safe_floats(inputs, [n for n in names if n not in vectors]), model, names, "baseline_occupancy")
     return scored.select(
         *SEGMENT_COLS, F.col("listing_price").alias("baseline_price"), "baseline_occupancy",
         F.col("elasticity_slope").alias("baseline_slope"), "segment_avg_price", *demand.REGIME_COLS,
@@ -40,7 +41,7 @@ class Pricing:
 
 
 def price_markets(
-    listed: DataFrame, rows: DataFrame, model, names: list[str], fitted: dict, room_type: str,
+    listed: DataFrame, rows: DataFrame, model, names: list[str], fitted: dict | SparseCategories, room_type: str,
     rules: PriceRules = PriceRules(), span: float = 0.5, points: int = 500, mode: str = "train",
 ) -> Pricing:
     """Recommended prices and reports for all markets in ``listed``."""
