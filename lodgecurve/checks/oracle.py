@@ -172,6 +172,14 @@ solved AS (SELECT c.*, daily * days AS annual, p0 * o0 * days AS base_annual
 )
 SOLVED = _curved(500).rstrip() + ", " + SOLVED_SQL.strip() + "\n"
 
+def _json_number(v: str) -> str:
+    """A double of six decimals as JSON text: below a thousandth in scientific form."""
+    digits = f"cast(cast(round(abs({v}) * 1e6) AS INT) AS VARCHAR)"
+    rest = f"coalesce(nullif(rtrim(substr({digits}, 2), '0'), ''), '0')"
+    small = f"CASE WHEN {v} < 0 THEN '-' ELSE '' END || substr({digits}, 1, 1) || '.' || {rest} || 'E-' || (7 - length({digits}))"
+    return f"CASE WHEN abs({v}) >= 1e-3 OR {v} = 0 THEN cast({v} AS VARCHAR) ELSE {small} END"
+
+
 MEDIANS_SQL = """
 property AS (SELECT city, quantile_disc(listing_price, 0.5) AS listing_price,
   quantile_disc(person_capacity, 0.5) AS person_capacity, quantile_disc(bedrooms, 0.5) AS bedrooms,
@@ -320,6 +328,10 @@ ORACLE = {
     "market_size": CLIPPED
     + """SELECT city, season, round(sum(listing_price * occupancy_rate), 3) AS total_market_value,
       count(*) AS listing_count, round(avg(listing_price), 6) AS avg_price FROM clipped GROUP BY ALL ORDER BY avg_price""",
+    "preview": CLIPPED
+    + """SELECT city, season, round(sum(listing_price * occupancy_rate), 3) AS total_market_value,
+      cast(count(*) AS INT) AS listing_count, round(avg(listing_price), 6) AS avg_price FROM clipped GROUP BY ALL
+      ORDER BY avg(listing_price), city, season LIMIT 2000""",
     "market_profile": CLIPPED
     + """SELECT city, round(quantile_disc(listing_price, 0.5), 6) AS median_price,
       round(quantile_disc(person_capacity, 0.5), 6) AS median_capacity,
@@ -373,6 +385,13 @@ ORACLE = {
     "elasticity_flatten": FITTED
     + f"""SELECT {SEG}, price_regime, round(slope, 6) AS elasticity_slope,
       round(breakpoint_log_price, 6) AS breakpoint_log_price FROM fit WHERE slope IS NOT NULL""",
+    "elasticity_json": FITTED
+    + f""", slopes AS (SELECT city, season, weekend, side, round(slope, 6) AS slope, round(breakpoint_log_price, 6) AS bp
+        FROM fit WHERE slope IS NOT NULL),
+      parts AS (SELECT city, city || '_' || season || '_season_' || CASE weekend WHEN 1 THEN 'weekend' ELSE 'weekday' END AS key, max(bp) AS bp,
+          string_agg('{{"slope":' || {_json_number("slope")} || '}}', ',' ORDER BY side) AS regimes FROM slopes GROUP BY city, season, weekend)
+      SELECT city, '{{' || string_agg('"' || key || '":{{' || coalesce('"breakpoint_log_price":' || {_json_number("bp")} || ',', '')
+        || '"regimes":[' || regimes || ']}}', ',' ORDER BY key) || '}}' AS value FROM parts GROUP BY city""",
     "regime_lookup": LOOKED_UP
     + """SELECT listing_key, city, season, weekend,
       round(coalesce(slope_all, CASE WHEN log_price < bp THEN slope_low ELSE slope_high END), 6) AS elasticity_slope

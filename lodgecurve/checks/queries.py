@@ -347,7 +347,8 @@ def slope_classes(spark, sf):
 
 
 def elasticity_json(spark, sf):
-    return elasticity.elasticity_documents(elastic_rows(held(spark, sf, *SOLD)))
+    rows = elastic_rows(held(spark, sf, *SOLD))
+    return elasticity.elasticity_documents(rows.withColumns({c: F.round(c, 6) for c in ("elasticity_slope", "breakpoint_log_price")}))
 
 
 def elasticity_flatten(spark, sf):
@@ -714,5 +715,5 @@ def segment_frame(spark, sf):
 
 def preview(spark, sf):
     place = _place(spark)
-    writers.write_preview(segments.market_size(clipped(spark, sf)), place)
+    writers.write_preview(market_size(spark, sf), place)
     return readers.read_listings_csv(spark, place)

@@ -12,6 +12,7 @@ SQL_TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string":
 SAMPLE = """
 bool_flags tolerant_casts segment_key_roundtrip listing_features segment_dataset outlier_filter competition_features
 days_per_segment price_bins breakpoint_search regime_lookup three_way_split optimal_prices solution_status lift_report portfolio_kpis weekend_premium price_schedule linear_fit ingest_csv
+elasticity_json preview
 """.split()
 
 
