@@ -9,7 +9,8 @@ Dictionaries hold raw content, so a window's length depends on matches alone and
 common its letters are. As zstandard stores inputs of a few bytes as they are and starts no
 match in the last bytes, every window ends with the same frame of digits, and so do both
 dictionaries. To train the toxic dictionary on what sets toxic text apart, its samples
-are the words of toxic documents that have a prefix which far more toxic than ordinary documents have.
+are the words of toxic documents that have a prefix which far more toxic than ordinary documents have,
+``least_documents`` toxic ones at least, whatever their number.
 
 Training uses at most about ``toxic_documents`` and ``ordinary_documents`` labelled documents of up
 to ``training_chars`` characters, chosen by a hash of the id: all of a small table, a sample of
@@ -35,6 +36,8 @@ from lodgecurve.llm.common import column, quoted, rows_of, texts, with_rows
 TOXIC_DOCUMENTS = 3000
 ORDINARY_DOCUMENTS = 6000
 TRAINING_CHARS = 20_000
+LEAST_DOCUMENTS = 6  # with fewer, words that toxic documents hold by chance pass
+ORDINARY_GROUPS = 60_000
 TOXIC_BYTES = 16 << 10
 ORDINARY_BYTES = 64 << 10
 LEVEL = 9
@@ -119,14 +122,14 @@ def prefixes(word: bytes) -> list[bytes]:
     return [word[:k] for k in range(PREFIX, len(word) + 1)] + [b"=" + word]
 
 
-def telling(samples: list[tuple[list[bytes], int]]) -> set[bytes]:
-    """Prefixes (and whole words) that toxic documents have far more often than ordinary ones."""
+def telling(samples: list[tuple[list[bytes], int]], least_documents: int = LEAST_DOCUMENTS) -> set[bytes]:
+    """Prefixes (and whole words) of ``least_documents`` toxic documents that these have far more often than ordinary ones."""
     toxic = Counter()
     for words, label in samples:
         if label:
             toxic.update({p for w in set(words) for p in prefixes(w)})
     n = sum(label for _, label in samples)
-    toxic = {p: k for p, k in toxic.items() if k >= max(3, 0.01 * n)}
+    toxic = {p: k for p, k in toxic.items() if k >= least_documents}
     ordinary = Counter()  # only of prefixes that may tell, which are few
     for words, label in samples:
         if not label:
@@ -146,21 +149,23 @@ def dictionary(samples: list[bytes], size: int) -> bytes:
         return plain[:size]
 
 
-def train(samples: list[tuple[str, int]], window: int = 1) -> Model:
-    """A model from labelled texts (1 toxic, 0 ordinary)."""
+def train(
+    samples: list[tuple[str, int]], window: int = 1, least_documents: int = LEAST_DOCUMENTS, ordinary_groups: int = ORDINARY_GROUPS
+) -> Model:
+    """A model from labelled texts (1 toxic, 0 ordinary); the ordinary dictionary is trained on some ``ordinary_groups`` groups of four words."""
     seen: dict[bytes, bytes] = {}
     cut = [([seen.setdefault(w, w) for w in words_of(t)], label) for t, label in samples]
     toxic = sum(label for _, label in cut)
     base = math.log((toxic + 0.5) / (len(cut) - toxic + 0.5))
     constant = Model(b" ", b" ", np.concatenate([[base], np.zeros(1 + 2 * len(THRESHOLDS))]), window)
-    marks = telling(cut) if 0 < toxic < len(cut) else set()
+    marks = telling(cut, least_documents) if 0 < toxic < len(cut) else set()
     lines = [b" " + w + b" " for words, label in cut if label for w in words if any(p in marks for p in prefixes(w))]
     if not lines:
         return constant
     groups = [b"".join(lines[i : i + 4]) for i in range(0, len(lines), 4)]
     groups *= max(1, 20_000 // len(groups))
     places = ((words, i) for words, label in cut if not label for i in range(0, len(words), 4))
-    step = max(1, sum(-(-len(words) // 4) for words, label in cut if not label) // 60_000)
+    step = max(1, sum(-(-len(words) // 4) for words, label in cut if not label) // ordinary_groups)
     plain = [b" " + b" ".join(words[i : i + 4]) + b" " for at, (words, i) in enumerate(places) if at % step == 0]
     model = Model(dictionary(groups, TOXIC_BYTES), dictionary(plain, ORDINARY_BYTES), constant.weights, window)
     margins = Margins(model)
@@ -174,8 +179,8 @@ def held_out(key) -> F.Column:
     return F.pmod(F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")), F.lit(5)) == 0
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, sizes: tuple[int, int]) -> list[tuple[str, int]]:
-    """A bounded sample of labelled texts. Of several labels of a document the largest counts."""
+def training_rows(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, sizes: tuple[int, int], chars: int = TRAINING_CHARS) -> list[tuple[str, int]]:
+    """A bounded sample of labelled texts of up to ``chars`` characters. Of several labels of a document the largest counts."""
     known = labels.select(F.col(quoted(key)).cast("long").alias("id"), F.col(quoted(label)).cast("int").alias("label"))
     known = known.where(F.col("id").isNotNull() & F.col("label").isin(0, 1)).groupBy("id").agg(F.max("label").alias("label"))
     known = known.where(~held_out(F.col("id")))
@@ -183,7 +188,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, key: str, text: str, label
     slot = F.pmod(F.xxhash64(F.lit(7), "id"), F.lit(1 << 20))
     share = [min(1 << 20, (size << 20) // max(1, counts.get(i, 0))) for i, size in enumerate(sizes)]
     chosen = known.where(slot < F.when(F.col("label") == 1, F.lit(share[1])).otherwise(F.lit(share[0])))
-    body = texts(docs, key, text).where(F.length("body") <= TRAINING_CHARS).select("id", "uid", "body")
+    body = texts(docs, key, text).where(F.length("body") <= chars).select("id", "uid", "body")
     rows = body.join(F.broadcast(chosen), "id").dropDuplicates(["uid"]).orderBy("id", "uid")
     return [(r["body"], r["label"]) for r in rows.select("body", "label").collect()]
 
@@ -197,9 +202,13 @@ def toxicity_model(
     window: int = 1,
     toxic_documents: int = TOXIC_DOCUMENTS,
     ordinary_documents: int = ORDINARY_DOCUMENTS,
+    training_chars: int = TRAINING_CHARS,
+    least_documents: int = LEAST_DOCUMENTS,
+    ordinary_groups: int = ORDINARY_GROUPS,
 ) -> Model:
     """Train on a bounded sample of the labelled rows that are not held out."""
-    return train(training_rows(docs, labels, key, text, label, (ordinary_documents, toxic_documents)), window)
+    samples = training_rows(docs, labels, key, text, label, (ordinary_documents, toxic_documents), training_chars)
+    return train(samples, window, least_documents, ordinary_groups)
 
 
 def scored(rows: DataFrame, model: Model, keep: str) -> DataFrame:

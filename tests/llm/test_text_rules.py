@@ -50,6 +50,22 @@ def test_toxic_rows_go_and_others_stay_as_they_are(spark):
     assert len(toxic & set(ids)) <= 3 and len(set(ids) - toxic) >= len(data) - len(toxic) + 1
 
 
+def test_a_term_of_few_toxic_documents_counts_however_many_there_are():
+    common = [([b"plain", b"words", b"vilewretch"], 1)] * 2000 + [([b"plain", b"words"], 0)] * 4000
+    rare = [([b"plain", b"scumlord"], 1)] * toxicity.LEAST_DOCUMENTS
+    assert b"=scumlord" in toxicity.telling(common + rare) and b"=plain" not in toxicity.telling(common + rare)
+    assert b"=scumlord" not in toxicity.telling(common + rare[1:])
+    assert b"=scumlord" in toxicity.telling(common + rare[1:], least_documents=3)
+
+
+def test_long_labelled_texts_train_where_the_caller_allows(spark):
+    docs = frame(spark, [(1, "word " * 5000), (3, "few words")])
+    known = spark.createDataFrame([(1, 1, 0, "", ""), (3, 0, 1, "", "")], LABELS)
+    learnt = {r[0] for r in ((1,), (3,)) if docs.where(F.col("doc_id") == r[0]).where(~toxicity.held_out(F.col("doc_id"))).count()}
+    for chars, ids in ((20_000, learnt - {1}), (30_000, learnt)):
+        assert len(toxicity.training_rows(docs, known, "doc_id", "text", "toxic", (9, 9), chars)) == len(ids)
+
+
 def test_toxicity_without_labels_or_rows(spark):
     none = spark.createDataFrame([], LABELS)
     some = [r.score for r in toxicity.toxicity_scores(frame(spark), none).collect()]
