@@ -64,31 +64,36 @@ def rows_of(batches: Iterator[pa.RecordBatch], *names: str) -> Iterator[tuple]:
             yield from zip(*[column(part, n).to_pylist() for n in names])
 
 
-SPLIT = 128
+SPLIT_BITS = 7
 MOST_RANGES = 4096
 
 
 def balanced_borders(df: DataFrame, key: str, size: str, target: int, most: int = MOST_RANGES) -> list[int]:
     """First keys of ranges of ``key`` (a long) that hold about ``target`` of ``size`` each, but for the first range.
 
-    Sizes are summed over ``SPLIT`` equal ranges, and again within those over the target, until a
-    range is small enough or a single key. Exact and the same for the same rows, however they are
-    partitioned. There are about ``most`` ranges at most, which grow beyond that, and the driver
-    holds ``SPLIT`` sums for each at most. ``df`` is read once for each level.
+    Sizes are summed over cells of equal width, 128 at first, and again over 128 parts of each cell over
+    the target, until a cell is small enough or a single key. A key's cell is the key without its lowest
+    bits, so the cells still open reach their rows by an equality. Exact and the same for the
+    same rows, however they are partitioned. There are about ``most`` ranges at most, which grow beyond that, and the
+    driver holds 128 sums for each at most. ``df`` is read once for each level. Null keys are in no range.
     """
-    whole = df.agg(F.min(key).alias("lo"), F.max(key).alias("hi"), F.sum(size).alias("n")).first()
+    sized = df.select(F.col(key).cast("long").alias("key"), F.col(size).alias("size")).where(F.col("key").isNotNull())
+    whole = sized.agg(F.min("key").alias("lo"), F.max("key").alias("hi"), F.sum("size").alias("n")).first()
     if whole["lo"] is None:
         return []
+    lo, hi = int(whole["lo"]), int(whole["hi"])
     target = max(1, target, -(-int(whole["n"] or 0) // most))
-    done, large = [], [(int(whole["lo"]), int(whole["hi"]), int(whole["n"] or 0))]
-    while large:
-        step = {lo: max(1, -(-(hi - lo + 1) // SPLIT)) for lo, hi, _ in large}
-        zones = df.sparkSession.createDataFrame([(lo, hi, step[lo]) for lo, hi, _ in large], "lo long, hi long, step long")
-        inside = df.select(F.col(key).alias("key"), F.col(size).alias("size")).join(F.broadcast(zones), F.col("key").between(F.col("lo"), F.col("hi")))
-        cells = inside.groupBy("lo", "hi", "step", F.expr("(key - lo) div step").alias("cell")).agg(F.sum("size").alias("n")).collect()
-        parts = [(lo + int(cell) * width, min(hi, lo + (int(cell) + 1) * width - 1), int(n)) for lo, hi, width, cell, n in cells]
-        large = sorted(r for r in parts if r[2] > target and r[0] < r[1])
-        done += [(lo, n) for lo, hi, n in parts if n <= target or lo == hi]
+    bits, inside, done = max(0, (hi - lo).bit_length() - SPLIT_BITS), sized, []
+    while True:
+        cells = inside.groupBy(F.shiftright("key", bits).alias("cell")).agg(F.sum("size").alias("n")).collect()
+        large = [r["cell"] for r in cells if bits and (r["n"] or 0) > target]
+        still = set(large)
+        done += [(max(lo, r["cell"] << bits), int(r["n"] or 0)) for r in cells if r["cell"] not in still]
+        if not large:
+            break
+        zones = df.sparkSession.createDataFrame([(cell,) for cell in sorted(large)], "cell long")
+        inside = sized.join(F.broadcast(zones), F.shiftright("key", bits) == F.col("cell"), "left_semi")
+        bits = max(0, bits - SPLIT_BITS)
     out, held = [], 0
     for at, n in sorted(done):
         if held and held + n > target:
