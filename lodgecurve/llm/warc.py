@@ -52,9 +52,10 @@ def payloads(pages: DataFrame, key: str = "page_id", url: str = "url", html: str
 
 def references(rows: DataFrame, revisit_bytes: int = REVISIT_BYTES) -> DataFrame:
     """``page_id, digest, refers_to``: pages whose payload a page with a smaller id has too."""
-    large = rows.where(F.col("size") >= revisit_bytes).select("page_id", "digest")
+    large = rows.where(F.col("size") >= revisit_bytes).select("page_id", "digest").distinct()
     first = large.groupBy("digest").agg(F.min("page_id").alias("refers_to"), F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
-    return large.join(first.select("digest", "refers_to"), "digest").where(F.col("page_id") > F.col("refers_to")).distinct()
+    several = materialise(first.select("digest", "refers_to"))  # a table of its own, so that a popular digest's join can be split
+    return large.join(several, "digest").where(F.col("page_id") > F.col("refers_to")).select("page_id", "digest", "refers_to")
 
 
 def clean(value: str) -> str:
