@@ -114,6 +114,7 @@ def best_rule(urls: DataFrame, rules: list[tuple[str, str, str]]) -> DataFrame:
     ends = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
     suffixes = hosts.select("host", F.explode(ends).alias("rule_host"))
     by_host = suffixes.join(F.broadcast(rules_of), "rule_host").groupBy("host").agg(F.flatten(F.collect_list("rules")).alias("rules"))
+    by_host = materialise(by_host)  # so that the rows of a hot host can be split in the join
     fits = F.filter("rules", lambda r: F.col("path").startswith(r["rule_path"]))
     best = F.array_max(F.transform(fits, lambda r: r["order"]))
     joined = urls.join(by_host, "host", "left").withColumn("best", best)
@@ -144,7 +145,7 @@ def judged_urls(
     own = ruled.groupBy("bare").agg(said(BLOCK).alias("blocks"), said(ALLOW).alias("allows"))
     placed = own.join(roots, F.col("bare") == F.col("node"), "left").select("bare", F.coalesce("root", "bare").alias("root"), "blocks", "allows")
     placed = materialise(placed)
-    classes = placed.groupBy("root").agg(F.max("blocks").alias("blocks"), F.max("allows").alias("allows"))
+    classes = materialise(placed.groupBy("root").agg(F.max("blocks").alias("blocks"), F.max("allows").alias("allows")))
     verdicts = placed.select("bare", "root").join(classes, "root").select(
         "bare", "root", F.when((F.col("blocks") == 1) & (F.col("allows") == 0), F.lit(BLOCK)).otherwise(F.lit(ALLOW)).alias("class_verdict")
     )
