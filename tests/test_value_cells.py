@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from lodgecurve.checks.listings import listings
 from lodgecurve.operators import elasticity, scale
+from lodgecurve.plans import features
 
 
 @pytest.fixture(scope="module")
@@ -53,6 +54,42 @@ def test_bins_match_ranks(spark, priced):
     assert sum(r["n"] for (k, _), r in found.items() if k == "b") == 6
 
 
+def test_slopes_are_filled_where_some_are_known(spark):
+    rows = [("a", "low", 0, 1.0), ("a", "low", 0, 3.0), ("a", "low", 0, None), ("a", "high", 0, 5.0), ("b", "low", 1, None), (None, "low", 1, None), (None, "low", 1, 2.0)]
+    df = spark.createDataFrame(rows, "city string, season string, weekend int, elasticity_slope double")
+    out = elasticity.impute_slope(df)
+    assert out.columns == df.columns
+    want = [2.0 if r == ("a", "low", 0, None) else r[3] for r in rows]
+    assert sorted(str(r[3]) for r in out.collect()) == sorted(map(str, want))
+    whole = df.where("elasticity_slope is not null")
+    assert "Join" not in elasticity.impute_slope(whole)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_preparation_writes_no_copy_of_the_listings(spark, monkeypatch):
+    rng = random.Random(3)
+    rows = [("a", "low", i % 2, rng.lognormvariate(5, 0.5), 2.0, rng.random(), f"{i}") for i in range(400)]
+    raw = spark.createDataFrame(rows, "city string, season string, weekend int, listing_price double, bedrooms double, occupancy_rate double, id string")
+    written = []
+    monkeypatch.setattr(features, "materialise", lambda df: written.append(df.columns) or scale.materialise(df))
+    out, _ = features.prepare_listings(raw, categories={})
+    assert out.where("elasticity_slope is null").count() == 0 and "id" in out.columns
+    assert not any("id" in columns for columns in written)
+
+
+def test_segments_with_part_of_their_slopes_are_filled(spark):
+    rows = [("a", "low", 0, "low", -0.2, 5.0), ("a", "high", 0, "low", -0.1, 5.0), ("a", "high", 0, "high", -0.3, 5.0), ("b", "low", 0, "all", -0.5, None)]
+    known = spark.createDataFrame(rows, "city string, season string, weekend int, price_regime string, elasticity_slope double, breakpoint_log_price double")
+    assert [tuple(r) for r in elasticity.partly_known(known).collect()] == [("a", "low", 0)]
+    raw = spark.createDataFrame(
+        [(c, s, 0, float(p), 1.0, 0.5) for c, s in (("a", "low"), ("a", "high"), ("b", "low"), ("c", "low")) for p in (100, 120, 160, 180)],
+        "city string, season string, weekend int, listing_price double, bedrooms double, occupancy_rate double",
+    )
+    out, _ = features.prepare_listings(raw, known, categories={})
+    found = {(r["city"], r["season"], r["listing_price"]): r["elasticity_slope"] for r in out.collect()}
+    want = {("a", "low"): [-0.2] * 4, ("a", "high"): [-0.1, -0.1, -0.3, -0.3], ("b", "low"): [-0.5] * 4, ("c", "low"): [None] * 4}
+    assert found == {(*k, p): x for k, v in want.items() for p, x in zip((100.0, 120.0, 160.0, 180.0), v)}
+
+
 def tables(spark, folder):
     """Two orders of one customer and one of nobody known, with repeated and missing keys."""
     day = F.to_timestamp(F.lit("2020-07-04"))
