@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodgecurve.llm.common import column, quoted, rows_of, texts, with_rows
+from lodgecurve.llm.common import column, quoted, rows_of, short_batches, texts, with_rows
 from lodgecurve.operators.scale import materialise
 
 PER_DOMAIN = 1500
@@ -36,6 +36,7 @@ HASHED = 512
 STEPS = 60
 TOLERANCE = 1e-3
 REMEMBERED = 150_000
+PART = 1024
 SHARES = {"high": 0.80, "low": 0.12, "toxic": 0.08}
 DOMAIN = "CASE WHEN toxic = 1 THEN 'toxic' WHEN quality = 1 THEN 'high' WHEN quality = 0 THEN 'low' END"
 
@@ -121,19 +122,23 @@ def classifier(
     return fitted(x, np.array([domains.index(r["domain"]) for r in rows]), domains, np.array([sizes.get(d, 0) / total for d in domains]))
 
 
+def measured(batches: Iterator[pa.RecordBatch], model: Classifier) -> Iterator[pa.RecordBatch]:
+    """``uid, id, tokens, p`` of each row (``uid, id, body``), with the features of ``PART`` rows in memory at once."""
+    measure = Features()
+    for batch in batches:
+        for part in (batch.slice(at, PART) for at in range(0, batch.num_rows, PART)):
+            made = [measure(b) for (b,) in rows_of([part], "body")]
+            p = model.posteriors(np.stack([m[0] for m in made]))
+            lists = pa.array(p.tolist(), pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([column(part, "uid"), column(part, "id"), pa.array([m[1] for m in made], pa.int64()), lists], ["uid", "id", "tokens", "p"])
+
+
 def memberships(docs: DataFrame, model: Classifier) -> DataFrame:
     """``uid, id, tokens, p``: words and domain posteriors of each row (``uid, id, body``)."""
+    short_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        measure = Features()
-        for batch in batches:
-            made = [measure(b) for (b,) in rows_of([batch], "body")]
-            p = shared.value.posteriors(np.stack([m[0] for m in made])) if made else np.zeros((0, 1))
-            lists = pa.array(p.tolist(), pa.list_(pa.float64()))
-            yield pa.RecordBatch.from_arrays([column(batch, "uid"), column(batch, "id"), pa.array([m[1] for m in made], pa.int64()), lists], ["uid", "id", "tokens", "p"])
-
-    return docs.select("uid", "id", F.col("body").cast("binary").alias("body")).mapInArrow(work, "uid long, id long, tokens long, p array<double>")
+    schema = "uid long, id long, tokens long, p array<double>"
+    return docs.select("uid", "id", F.col("body").cast("binary").alias("body")).mapInArrow(lambda batches: measured(batches, shared.value), schema)
 
 
 def rates(p: np.ndarray, moves: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:

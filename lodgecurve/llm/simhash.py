@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodgecurve.llm.common import column, longs, many, rows_of, signed, texts, with_rows
+from lodgecurve.llm.common import column, longs, many, rows_of, short_batches, signed, texts, with_rows
 from lodgecurve.llm.components import components
 from lodgecurve.operators.scale import join_measured, materialise
 
@@ -66,6 +66,7 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", words
             fps = [fingerprint(t, words) for (t,) in rows_of([batch], "body")]
             yield pa.RecordBatch.from_arrays([column(batch, "uid"), column(batch, "id"), longs(signed(np.array(fps, dtype=np.uint64)))], ["uid", "id", "fp"])
 
+    short_batches(docs.sparkSession)
     return texts(docs, key, text).select("uid", "id", F.col("body").cast("binary").alias("body")).mapInArrow(work, schema)
 
 

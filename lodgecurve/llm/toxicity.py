@@ -31,7 +31,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodgecurve.llm.common import column, quoted, rows_of, texts, with_rows
+from lodgecurve.llm.common import column, quoted, rows_of, short_batches, texts, with_rows
 
 TOXIC_DOCUMENTS = 3000
 ORDINARY_DOCUMENTS = 6000
@@ -213,6 +213,7 @@ def toxicity_model(
 
 def scored(rows: DataFrame, model: Model, keep: str) -> DataFrame:
     """``keep`` (a column of ``rows``) and ``score`` of every row."""
+    short_batches(rows.sparkSession)
     shared = rows.sparkSession.sparkContext.broadcast(model)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
